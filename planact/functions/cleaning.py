@@ -35,7 +35,9 @@ def float_or_default(c: Column) -> Column:
     """Decimal comma to point, cast, bound to the double range, six digits."""
     number = F.replace(F.trim(c), F.lit(","), F.lit(".")).try_cast("double")
     number = F.when(~F.isnan(number), number)
-    bounded = F.greatest(F.least(number, F.lit(FLOAT_LIMIT)), F.lit(-FLOAT_LIMIT))
+    bounded = (
+        F.when(number > FLOAT_LIMIT, F.lit(FLOAT_LIMIT)).when(number < -FLOAT_LIMIT, F.lit(-FLOAT_LIMIT)).otherwise(number)
+    )
     # Beyond 1e15 a double has no digit left to round.
     rounded = F.when(F.abs(bounded) < 1e15, F.bround(bounded, FLOAT_DIGITS)).otherwise(bounded)
     return F.coalesce(rounded, F.lit(FLOAT_DEFAULT))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from planact.functions import compare
 from planact.operators import calendar as cal
+from planact.operators.plan import BUDGET, FORECAST
 
 CELL = ["material_id", "month", "measure"]
 
@@ -142,14 +143,20 @@ def load_decision(
     empty = (plan_fact.limit(1).agg(F.count("*") == 0)).scalar() & (
         shutdown_fact.limit(1).agg(F.count("*") == 0)
     ).scalar()
+    # One pass over the changed cells counts both measures; the two columns share the subquery.
+    by_measure = cells.agg(
+        F.struct(
+            F.count_if(F.col("measure") == BUDGET).alias("b"), F.count_if(F.col("measure") == FORECAST).alias("f")
+        )
+    ).scalar()
     counted = new_plan.agg(F.count("*").alias("new_cells")).select(
         "new_cells",
         _any(version_in_use(new_plan, plan_fact), "version_in_use"),
         empty.alias("store_empty"),
         _count(fresh, "new_materials"),
         _count(moved, "changed_versions"),
-        _count(cells.where("measure = 'budget'"), "changed_budget_cells"),
-        _count(cells.where("measure = 'forecast'"), "changed_forecast_cells"),
+        by_measure["b"].alias("changed_budget_cells"),
+        by_measure["f"].alias("changed_forecast_cells"),
         _count(down, "changed_shutdown_days"),
     )
     reasons = (

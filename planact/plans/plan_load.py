@@ -12,6 +12,7 @@ from planact import schemas
 from planact.functions import dates
 from planact.operators import calendar as cal
 from planact.operators import change, quality
+from planact.operators.plan import BUDGET
 from planact.session import stage
 from planact.sinks import tables as sink
 from planact.sources import grids
@@ -70,9 +71,10 @@ def load_workbook(
     quality.require_categories(book["materials"])
     sink.upsert_table(spark, store.materials, schemas.MATERIAL, book["materials"], ["material_id"])
 
-    new_plan = book["budget"].unionByName(book["forecast"])
+    # The sheets are wide text; their long form is written once and feeds every check below.
+    new_plan = stage(book["budget"].unionByName(book["forecast"]), "new-plan")
     new_shutdown = book["budget_shutdown"].unionByName(book["forecast_shutdown"])
-    members = cal.month_members(book["budget"]).unionByName(cal.day_members(book["forecast_shutdown"]))
+    members = cal.month_members(new_plan.where(F.col("measure") == BUDGET)).unionByName(cal.day_members(book["forecast_shutdown"]))
     sink.append_missing_members(spark, store.time, members)
 
     materials = spark.read.schema(schemas.MATERIAL).parquet(store.materials)
