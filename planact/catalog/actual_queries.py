@@ -116,7 +116,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     measured = actuals.measures_by_day(mass, sv.materials(spark, sf), actuals.SELECTIONS)
     pairs = F.array(
         *[
-            F.struct(F.lit(n).alias("selection"), r.tenths_to_decimal(F.col(f"{n}_tenths")).alias("tons"))
+            F.struct(F.lit(n).alias("selection"), r.tenths_to_decimal(f"{n}_tenths").alias("tons"))
             for n in actuals.SELECTIONS
         ]
     )
@@ -212,7 +212,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("cls", "place")
         .agg(
             F.count("*").alias("movements"),
-            (F.sum(r.milligrams(F.col("kg"))) / r.MG_PER_KG).alias("kg"),
+            (F.sum(r.milligrams("kg")) / r.MG_PER_KG).alias("kg"),
             F.count_distinct("day").alias("days"),
         )
     )

@@ -11,7 +11,7 @@ from planact.catalog.core import query
 from planact.operators import calendar as cal
 from planact.operators import change, dedupe, quality
 from planact.plans import legacy_report, plan_load
-from planact.session import scratch_path
+from planact.session import scratch_path, stage
 from planact.sinks import tables as sink
 from planact.sources import star_views as sv
 
@@ -147,8 +147,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 1 should_load""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    new, stored = _plan(spark, sf)
-    new_down, stored_down = _shutdown(spark, sf)
+    # Facts are stored tables: the derived ones are written first, then compared.
+    facts, down = stage(sv.plan(spark, sf), "facts"), stage(sv.shutdown(spark, sf), "shutdown")
+    new, stored = facts.where(F.col("version") == _NEW), facts.where(F.col("version").isin(*_STORED))
+    new_down, stored_down = down.where(F.col("version") == _NEW), down.where(F.col("version").isin(*_STORED))
     budget_down = new_down.where("measure = 'budget'")
     return change.load_decision(new, budget_down, stored, stored_down).flags
 
@@ -160,7 +162,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """A version that is stored already is refused, whatever has changed."""
-    facts, down = sv.plan(spark, sf), sv.shutdown(spark, sf)
+    facts, down = stage(sv.plan(spark, sf), "facts"), stage(sv.shutdown(spark, sf), "shutdown")
     again, down_again = facts.where("version = 'V2'"), down.where("version = 'V2' and measure = 'budget'")
     flags = change.load_decision(again, down_again, facts, down).flags
     return flags.select("new_cells", "version_in_use", "should_load")

@@ -224,18 +224,21 @@ as double) / 10 pct from v_movement""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Each movement in tons, and its tenths as a share of its whole tons."""
-    rows = sv.movements(spark, sf).withColumn("mg", rounding.milligrams(F.col("kg")))
-    mg = F.col("mg")
+    rows = sv.movements(spark, sf).withColumn("mg", rounding.milligrams("kg"))
+    rows = rows.select(
+        "*",
+        rounding.abs_tenth_tons("mg").alias("tenths"),
+        rounding.signed_tenth_tons("mg").alias("signed"),
+        rounding.abs_whole_tons("mg").alias("whole_tons"),
+    )
     return rows.select(
         "doc_id",
         "day",
         "kg",
-        rounding.tenths_to_decimal(rounding.abs_tenth_tons(mg)).alias("abs_tons"),
-        rounding.tenths_to_decimal(rounding.signed_tenth_tons(mg)).alias("tons"),
-        rounding.abs_whole_tons(mg).alias("whole_tons"),
-        rounding.tenths_to_decimal(
-            rounding.percentage_tenths(rounding.abs_tenth_tons(mg), rounding.abs_whole_tons(mg))
-        ).alias("pct"),
+        rounding.tenths_to_decimal("tenths").alias("abs_tons"),
+        rounding.tenths_to_decimal("signed").alias("tons"),
+        "whole_tons",
+        rounding.percentage("tenths", "whole_tons").alias("pct"),
     )
 
 

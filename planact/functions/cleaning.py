@@ -11,6 +11,7 @@ INT_DEFAULT = -1
 DATE_DEFAULT = "1970-01-01"
 FLOAT_DEFAULT = 0.0
 FLOAT_DIGITS = 6
+GERMAN_DATE = r"^\d{1,2}\.\d{1,2}\.\d{4}"
 FLOAT_LIMIT = 1.79e308
 # ------------------------------------------------------------------------------------
 
@@ -26,21 +27,33 @@ def int_or_default(c: Column) -> Column:
     return F.coalesce(whole, F.lit(INT_DEFAULT))
 
 
-def date_or_default(c: Column, formats: tuple[str, ...]) -> Column:
-    tried = [F.to_date(F.try_to_timestamp(F.trim(c), F.lit(f))) for f in formats]
-    return F.coalesce(*tried, F.lit(DATE_DEFAULT).cast("date"))
+def parsed_date(c: Column) -> Column:
+    """ISO dates (with or without a time) by cast; the German form only where the text has it.
+
+    A failed parse costs an exception per row, so text is looked at before it is parsed.
+    """
+    text = F.trim(c)
+    german = F.when(text.rlike(GERMAN_DATE), F.to_date(F.try_to_timestamp(F.substring(text, 1, 10), F.lit("d.M.yyyy"))))
+    return F.coalesce(text.try_cast("date"), german)
+
+
+def date_or_default(c: Column) -> Column:
+    return F.coalesce(parsed_date(c), F.lit(DATE_DEFAULT).cast("date"))
 
 
 def float_or_default(c: Column) -> Column:
     """Decimal comma to point, cast, bound to the double range, six digits."""
     number = F.replace(F.trim(c), F.lit(","), F.lit(".")).try_cast("double")
-    number = F.when(~F.isnan(number), number)
-    bounded = (
-        F.when(number > FLOAT_LIMIT, F.lit(FLOAT_LIMIT)).when(number < -FLOAT_LIMIT, F.lit(-FLOAT_LIMIT)).otherwise(number)
+    scale = F.lit(10.0**FLOAT_DIGITS)
+    # Beyond 1e9 a double has no sixth digit to round; NaN fails every comparison but the last.
+    cleaned = (
+        F.when(F.abs(number) < 1e9, F.rint(number * scale) / scale)
+        .when(F.isnan(number), F.lit(FLOAT_DEFAULT))
+        .when(number > FLOAT_LIMIT, F.lit(FLOAT_LIMIT))
+        .when(number < -FLOAT_LIMIT, F.lit(-FLOAT_LIMIT))
+        .otherwise(number)
     )
-    # Beyond 1e15 a double has no digit left to round.
-    rounded = F.when(F.abs(bounded) < 1e15, F.bround(bounded, FLOAT_DIGITS)).otherwise(bounded)
-    return F.coalesce(rounded, F.lit(FLOAT_DEFAULT))
+    return F.coalesce(cleaned, F.lit(FLOAT_DEFAULT))
 
 
 def hours_or_zero(c: Column) -> Column:

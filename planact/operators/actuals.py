@@ -67,7 +67,7 @@ def day_material_mass(
     """(day, material_id) with the milligrams of each slice; null where a slice had no row."""
     slices = slice_conditions()
     used = slices["raw"] | slices["recirculate"] | slices["flux"]
-    mg = r.milligrams(F.col("kg"))
+    mg = r.milligrams("kg")
     return (
         in_interval(movements, start, end)
         .where(both_places())
@@ -100,8 +100,8 @@ def daily_total(
         in_interval(movements, start, end)
         .where(main_place() & in_class(CLASS_RAW))
         .groupBy("day")
-        .agg(F.sum(r.milligrams(F.col("kg"))).alias("mg"))
-        .select("day", r.abs_whole_tons(F.coalesce(F.col("mg"), F.lit(0))).alias("tons"))
+        .agg(F.sum(r.milligrams("kg")).alias("mg"))
+        .select("day", r.abs_whole_tons("coalesce(mg, 0L)").alias("tons"))
     )
     return fill_days(per_day, start, end)
 
@@ -118,8 +118,8 @@ def movement_summary(movements: DataFrame, day: cal.DateLike | None = None) -> D
     )
     return (
         rows.groupBy("day", "material_id", "label")
-        .agg(F.sum(r.signed_tenth_tons(r.milligrams(F.col("kg")))).alias("tenths"))
-        .select("day", "material_id", "label", r.tenths_to_decimal(F.col("tenths")).alias("tons"))
+        .agg(F.sum(r.signed_tenth_tons_of_kg("kg")).alias("tenths"))
+        .select("day", "material_id", "label", r.tenths_to_decimal("tenths").alias("tons"))
     )
 
 
@@ -186,7 +186,7 @@ def material_days(mass: DataFrame, materials: DataFrame, selection: Selection |
             "material_name",
             "material_type",
             "category",
-            r.abs_tenth_tons(F.col("raw_mg")).alias("tenths"),
+            r.abs_tenth_tons("raw_mg").alias("tenths"),
         )
     )
 
@@ -217,11 +217,11 @@ def _dense(mass: DataFrame, materials: DataFrame, rounding, column: str, start,
     The moved days of a material travel as one map of at most (days of the interval)
     entries, so the materials are shuffled once per material instead of once per day.
     """
-    moved = moved_days(mass, rounding(F.col(column)), column)
+    moved = moved_days(mass, rounding(column), column)
     rows = materials.select("material_id", "material_name").join(moved, "material_id", "left")
     opened = cal.each_day(rows, cal.date_lit(start), cal.date_lit(end))
     return opened.select(
-        "day", "material_id", "material_name", r.tenths_to_decimal(tenths_on("day")).alias("tons")
+        "day", "material_id", "material_name", r.tenths_to_decimal(TENTHS_ON_DAY).alias("tons")
     )
 
 
@@ -234,8 +234,8 @@ def moved_days(mass: DataFrame, value: Column, column: str) -> DataFrame:
     )
 
 
-def tenths_on(day: str) -> Column:
-    return F.coalesce(F.try_element_at("by_day", F.col(day)), F.lit(0).cast("bigint"))
+# The tenths of the opened-up ``day``, as SQL text.
+TENTHS_ON_DAY = "coalesce(try_element_at(by_day, day), 0L)"
 
 
 def daily_share(
@@ -252,8 +252,8 @@ def daily_share(
     filled = fill_days(measured, start, end)
     return filled.select(
         "day",
-        r.tenths_to_decimal(F.col("part_tenths")).alias("tons"),
-        r.tenths_to_decimal(r.percentage_tenths(F.col("part_tenths"), F.col("actual"))).alias("pct"),
+        r.tenths_to_decimal("part_tenths").alias("tons"),
+        r.percentage("part_tenths", "actual").alias("pct"),
     )
 
 
@@ -273,8 +273,8 @@ def side_stream(
         .where(both_places())
         .where(cond)
         .groupBy("day", "material_id")
-        .agg(F.sum(r.milligrams(F.col("kg"))).alias("mg"))
-        .select("day", "material_id", r.abs_whole_tons(F.coalesce("mg", F.lit(0))).alias("tons"))
+        .agg(F.sum(r.milligrams("kg")).alias("mg"))
+        .select("day", "material_id", r.abs_whole_tons("coalesce(mg, 0L)").alias("tons"))
     )
 
 
@@ -299,7 +299,7 @@ def measures_by_day(mass: DataFrame, materials: DataFrame, selections: dict[str,
     known = materials.select(
         "material_id", *[F.coalesce(cond, F.lit(False)).alias(f"is_{name}") for name, cond in flags.items()]
     )
-    tenths = r.abs_tenth_tons(F.col("raw_mg"))
+    tenths = r.abs_tenth_tons("raw_mg")
     parts = [
         F.coalesce(F.sum(F.when(F.col(f"is_{name}"), tenths)), F.lit(0)).alias(f"{name}_tenths")
         for name in selections
@@ -310,10 +310,10 @@ def measures_by_day(mass: DataFrame, materials: DataFrame, selections: dict[str,
         .agg(
             F.coalesce(F.sum("raw_main_mg"), F.lit(0)).alias("raw_main_mg"),
             *parts,
-            F.coalesce(F.sum(r.abs_whole_tons(F.col("recirculate_mg"))), F.lit(0)).alias("recirculates"),
-            F.coalesce(F.sum(r.abs_whole_tons(F.col("flux_mg"))), F.lit(0)).alias("fluxes"),
+            F.coalesce(F.sum(r.abs_whole_tons("recirculate_mg")), F.lit(0)).alias("recirculates"),
+            F.coalesce(F.sum(r.abs_whole_tons("flux_mg")), F.lit(0)).alias("fluxes"),
         )
-        .withColumn("actual", r.abs_whole_tons(F.col("raw_main_mg")))
+        .withColumn("actual", r.abs_whole_tons("raw_main_mg"))
         .drop("raw_main_mg")
     )
 
@@ -340,10 +340,7 @@ def daily_measures(
     return measured.select(
         "day",
         "actual",
-        *[
-            r.tenths_to_decimal(r.percentage_tenths(F.col(f"{name}_tenths"), F.col("actual"))).alias(f"{name}_pct")
-            for name in DAILY_SHARES
-        ],
+        *[r.percentage(f"{name}_tenths", "actual").alias(f"{name}_pct") for name in DAILY_SHARES],
         "recirculates",
         "fluxes",
     )

@@ -101,7 +101,7 @@ def _shape(lines: DataFrame, keys: list[str]) -> DataFrame:
         "label",
         F.coalesce(F.col("budget"), zero).cast("decimal(24,3)").alias("total_budget"),
         F.coalesce(F.col("forecast"), zero).cast("decimal(24,3)").alias("total_forecast"),
-        F.when(defined, r.tenths_to_decimal(F.coalesce(F.col("tenths"), F.lit(0).cast("bigint"))))
+        F.when(defined, r.tenths_to_decimal("coalesce(tenths, 0L)"))
         .otherwise(F.lit(0).cast("decimal(20,1)"))
         .alias("total_actual"),
     )

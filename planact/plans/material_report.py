@@ -35,7 +35,7 @@ def material_report(
     )
     if mass is None:
         mass = actuals.day_material_mass(inputs.movements, lo, min(hi, cal.end_of_month(lo)))
-    moved = actuals.moved_days(mass, r.abs_tenth_tons(F.col("raw_mg")), "raw_mg")
+    moved = actuals.moved_days(mass, r.abs_tenth_tons("raw_mg"), "raw_mg")
     rows = inputs.materials.join(plan_days, "material_id", "left").join(moved, "material_id", "left")
     opened = cal.each_day(rows, cal.date_lit(lo), cal.date_lit(hi))
     planned_on = F.try_element_at("plan_on", F.col("day"))
@@ -48,5 +48,5 @@ def material_report(
         "category",
         F.coalesce(planned_on[plan.BUDGET], zero).alias("budget"),
         F.coalesce(planned_on[plan.FORECAST], zero).alias("forecast"),
-        r.tenths_to_decimal(actuals.tenths_on("day")).alias("actual"),
+        r.tenths_to_decimal(actuals.TENTHS_ON_DAY).alias("actual"),
     )

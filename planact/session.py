@@ -18,6 +18,14 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Generated methods above this size are not compiled by the JVM; split them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+# Settings a session takes only when it is created.
+AT_START = {
+    # Do not record a Python call site for every column expression built on the driver.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -28,7 +36,7 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(extra or {})}.items():
+    for key, value in {**DEFAULTS, **AT_START, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

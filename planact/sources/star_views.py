@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from planact.operators.plan import BUDGET, FORECAST
 
@@ -34,8 +35,31 @@ class Inputs:
     telemetry: DataFrame
 
 
+def _schema(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+_KEY, _INT, _TEXT, _REAL, _AT = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType(), T.TimestampNTZType()
+
+# Given up front, so that building a query reads no file footer.
+SCHEMAS = {
+    "part": _schema(
+        p_partkey=_KEY, p_name=_TEXT, p_brand=_TEXT, p_type=_TEXT, p_size=_INT, p_retailprice=_REAL
+    ),
+    "supplier": _schema(s_suppkey=_KEY, s_name=_TEXT, s_nationkey=_INT, s_acctbal=_REAL),
+    "orders": _schema(
+        o_orderkey=_KEY, o_custkey=_KEY, o_orderstatus=_TEXT, o_totalprice=_REAL, o_orderdate=_AT, o_orderpriority=_TEXT
+    ),
+    "lineitem": _schema(
+        l_orderkey=_KEY, l_partkey=_KEY, l_suppkey=_KEY, l_linenumber=_INT, l_quantity=_REAL, l_extendedprice=_REAL,
+        l_discount=_REAL, l_tax=_REAL, l_returnflag=_TEXT, l_linestatus=_TEXT, l_shipdate=_AT,
+    ),
+    "events": _schema(event_id=_KEY, ts=_AT, user_id=_KEY, event_type=_TEXT, value=_REAL, props=_TEXT),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def materials(spark: SparkSession, sf_dir: str) -> DataFrame:

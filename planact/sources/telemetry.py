@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from planact import schemas
 
 # --- fixed values ----------------------------------------------------------------------------
-TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss[.SSSSSS]", "dd.MM.yyyy HH:mm[:ss]")
+GERMAN_TIMESTAMP = r"^\d{1,2}\.\d{1,2}\.\d{4} "
+GERMAN_FORMAT = "d.M.yyyy H:mm[:ss]"
 # ---------------------------------------------------------------------------------------------
 
 RAW = T.StructType([T.StructField(c, T.StringType()) for c in schemas.TELEMETRY_FEED])
@@ -19,9 +20,10 @@ def parse(raw: DataFrame) -> DataFrame:
     """Text rows to typed rows. The preamble has no timestamp in its first cell and drops out
     together with data rows that lack one."""
     stamp = F.trim("Zeitstempel")
-    ts = F.coalesce(
-        *[F.try_to_timestamp(stamp, F.lit(f)).cast("timestamp_ntz") for f in TIMESTAMP_FORMATS]
+    german = F.when(
+        stamp.rlike(GERMAN_TIMESTAMP), F.try_to_timestamp(stamp, F.lit(GERMAN_FORMAT)).cast("timestamp_ntz")
     )
+    ts = F.coalesce(stamp.try_cast("timestamp_ntz"), german)
     sensors = [
         F.trim(feed).try_cast("decimal(10,2)").alias(name)
         for feed, name in schemas.TELEMETRY_FEED.items()
