@@ -53,14 +53,11 @@ def month_label(day: Column) -> Column:
 
 
 def month_from_label(label: Column) -> Column:
-    """Inverse of :func:`month_label`; years are read as 20yy."""
-    parts = F.split(label, "_")
-    return F.to_date(
-        F.try_to_timestamp(
-            F.concat(F.lit("01 "), F.initcap(parts[0]), F.lit(" 20"), parts[1]),
-            F.lit("dd MMM yyyy"),
-        )
-    )
+    """Inverse of :func:`month_label`; years are read as 20yy, anything else gives null."""
+    name = F.initcap(F.split_part(label, F.lit("_"), F.lit(1)))
+    year = F.split_part(label, F.lit("_"), F.lit(2))
+    text = F.concat(F.lit("01 "), name, F.lit(" 20"), year)
+    return F.to_date(F.try_to_timestamp(text, F.lit("dd MMM yyyy")))
 
 
 def in_years(day: Column, years: tuple[int, ...] | list[int]) -> Column:
