@@ -10,6 +10,7 @@ from planact.catalog.core import query
 from planact.functions import compare, dates, display, rounding
 from planact.functions import materials as mat
 from planact.operators import actuals, telemetry
+from planact.operators import calendar as cal
 from planact.sources import star_views as sv
 
 # Every part key in one of the shapes ids come in: plain, too short, wrong first digit, suffixed.
@@ -92,7 +93,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 where day between date '1997-03-15' and date '1999-02-10' and place in (53, 55)""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    rows = actuals.in_interval(sv.movements(spark, sf), "1997-03-15", "1999-02-10").where(actuals.both_places())
+    rows = cal.in_interval(sv.movements(spark, sf), "1997-03-15", "1999-02-10").where(actuals.both_places())
     return rows.select("doc_id", "material_id", "day", "cls", "place", "kg")
 
 

@@ -52,15 +52,6 @@ def slice_conditions() -> dict[str, Column]:
     }
 
 
-def in_interval(df: DataFrame, start: cal.DateLike | None, end: cal.DateLike | None, column: str = "day") -> DataFrame:
-    """Rows between two days, both included; an open end is not filtered."""
-    if start is not None:
-        df = df.where(F.col(column) >= cal.date_lit(start))
-    if end is not None:
-        df = df.where(F.col(column) <= cal.date_lit(end))
-    return df
-
-
 def day_material_mass(
     movements: DataFrame, start: cal.DateLike | None = None, end: cal.DateLike | None = None
 ) -> DataFrame:
@@ -69,7 +60,7 @@ def day_material_mass(
     used = slices["raw"] | slices["recirculate"] | slices["flux"]
     mg = r.milligrams("kg")
     return (
-        in_interval(movements, start, end)
+        cal.in_interval(movements, start, end)
         .where(both_places())
         .where(used)
         .groupBy("day", "material_id")
@@ -97,7 +88,7 @@ def daily_total(
 ) -> DataFrame:
     """Whole tons of raw material per day from the main place."""
     per_day = (
-        in_interval(movements, start, end)
+        cal.in_interval(movements, start, end)
         .where(main_place() & in_class(CLASS_RAW))
         .groupBy("day")
         .agg(F.sum(r.milligrams("kg")).alias("mg"))
@@ -112,7 +103,7 @@ def daily_total(
 def movement_summary(movements: DataFrame, day: cal.DateLike | None = None) -> DataFrame:
     """Tons per (day, material, label); each movement is rounded to 0.1 t before summing."""
     rows = (
-        in_interval(movements, day, day)
+        cal.in_interval(movements, day, day)
         .where(main_place() & in_class(CLASS_RAW))
         .dropna(subset=["material_id", "label", "kg"])
     )
@@ -269,7 +260,7 @@ def side_stream(
     """Whole tons per (day, material) of the ``recirculate`` or ``flux`` slice."""
     cond = slice_conditions()[which]
     return (
-        in_interval(movements, start, end)
+        cal.in_interval(movements, start, end)
         .where(both_places())
         .where(cond)
         .groupBy("day", "material_id")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planact.functions import dates
+from planact.schemas import PART_MONTH
 
 DateLike = str | dt.date
 
@@ -120,3 +121,19 @@ def key_of_day(dim_time: DataFrame) -> DataFrame:
         .select(F.make_date("year", "month", F.greatest(F.col("day"), F.lit(1))).alias("day"))
         .distinct()
     )
+
+
+def in_interval(df: DataFrame, start: DateLike | None, end: DateLike | None, column: str = "day") -> DataFrame:
+    """Rows between two days, both included; an open end is not filtered.
+
+    A frame that carries the month its table is partitioned by is also filtered on that
+    month, so that only the partitions of the interval are listed and read.
+    """
+    parted = PART_MONTH in df.columns
+    if start is not None:
+        df = df.where(F.col(column) >= date_lit(start))
+        df = df.where(F.col(PART_MONTH) >= F.lit(month_of(start))) if parted else df
+    if end is not None:
+        df = df.where(F.col(column) <= date_lit(end))
+        df = df.where(F.col(PART_MONTH) <= F.lit(month_of(end))) if parted else df
+    return df

@@ -89,12 +89,10 @@ def _sum_of(measure: str) -> Column:
     return F.coalesce(F.sum(value), F.lit(0)).cast(_MONEY).alias(measure)
 
 
-def monthly_plan(plan: DataFrame) -> DataFrame:
+def monthly_plan(plan: DataFrame, keys: Sequence[str] = ("version", "material_id", "month")) -> DataFrame:
     """Budget and forecast per version, material and month; 0 where a measure is missing."""
     return (
-        plan.where(F.col("material_id").isNotNull())
-        .groupBy("version", "material_id", "month")
-        .agg(_sum_of(BUDGET), _sum_of(FORECAST))
+        plan.where(F.col("material_id").isNotNull()).groupBy(*keys).agg(_sum_of(BUDGET), _sum_of(FORECAST))
     )
 
 
@@ -229,37 +227,39 @@ def _shutdown_periods(shutdown: DataFrame, period: Column) -> DataFrame:
 # --- allocation -----------------------------------------------------------------------------------
 
 
+def month_periods(shutdown: DataFrame) -> DataFrame:
+    """Shutdown hours per version and calendar month, see :func:`_shutdown_periods`."""
+    return _shutdown_periods(shutdown, F.trunc("day", "MM"))
+
+
+def rates(df: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Add the hourly rate of each measure, from its total and the shutdown hours of the period."""
+    hours = ((F.datediff(last, first) + 1) * HOURS_PER_DAY).cast(_HOURS)
+    added = {}
+    for m in (BUDGET, FORECAST):
+        left = hours - F.col(f"{m}_shutdown")
+        working = F.greatest(left, F.lit(MIN_WORKING_HOURS).cast(_HOURS)).cast(_HOURS)
+        rate = r.half_even(F.col(f"{m}_total") / working, PLAN_DIGITS).cast(_RATE)
+        added[f"{m}_rate"] = F.when(F.col(f"{m}_total") > 0, rate).otherwise(F.lit(0).cast(_RATE))
+    return df.withColumns(added)
+
+
+def day_value(measure: str) -> Column:
+    """Plan of ``day``: its hours net of shutdown (``hours_on``) times the rate."""
+    return F.expr(
+        f"CAST(bround(CAST(greatest({HOURS_PER_DAY} - coalesce(try_element_at(hours_on, day).{measure}_hours, 0BD), 0BD) "
+        f"AS {_HOURS}) * {measure}_rate, {PLAN_DIGITS}) AS {_TOTAL})"
+    )
+
+
 def _open_days(
     totals: DataFrame, periods: DataFrame, first: Column, last: Column, by: Sequence[str]
 ) -> DataFrame:
     """Totals per period and slice to one value per day, net of shutdown hours."""
     defined = totals.where((F.col(f"{BUDGET}_total") != 0) | (F.col(f"{FORECAST}_total") != 0))
-    joined = defined.join(periods, ["version", "period"])
-    hours = (F.datediff(last, first) + 1) * HOURS_PER_DAY
-    rated = joined
-    for m in (BUDGET, FORECAST):
-        working = F.greatest(
-            hours.cast(_HOURS) - F.col(f"{m}_shutdown"), F.lit(MIN_WORKING_HOURS).cast(_HOURS)
-        ).cast(_HOURS)
-        rate = r.half_even(F.col(f"{m}_total") / working, PLAN_DIGITS).cast(_RATE)
-        rated = rated.withColumn(
-            f"{m}_rate", F.when(F.col(f"{m}_total") > 0, rate).otherwise(F.lit(0).cast(_RATE))
-        )
-    opened = cal.each_day(
-        rated.select(
-            "version", "period", *by, f"{BUDGET}_rate", f"{FORECAST}_rate", "hours_on",
-            first.alias("first"), last.alias("last"),
-        ),
-        F.col("first"),
-        F.col("last"),
-    )
-    off = F.try_element_at("hours_on", F.col("day"))
-    values = []
-    for m in (BUDGET, FORECAST):
-        down = F.coalesce(off[f"{m}_hours"], F.lit(0).cast(_HOURS))
-        worked = F.greatest(F.lit(HOURS_PER_DAY).cast(_HOURS) - down, F.lit(0).cast(_HOURS)).cast(_HOURS)
-        values.append(r.half_even(worked * F.col(f"{m}_rate"), PLAN_DIGITS).cast(_TOTAL).alias(m))
-    return opened.select("version", "day", *by, *values)
+    rated = rates(defined.join(periods, ["version", "period"]), first, last)
+    opened = cal.each_day(rated, first, last)
+    return opened.select("version", "day", *by, *[day_value(m).alias(m) for m in (BUDGET, FORECAST)])
 
 
 def allocate_months(
@@ -281,13 +281,22 @@ def allocate_months(
             F.col("day").between(F.lit(cal.month_of(month)), F.lit(cal.end_of_month(month)))
         )
     slices = monthly_slices(monthly_plan(plan), materials, by)
-    return allocate_slices(slices, shutdown, by)
+    return allocate_slices(slices, shutdown, by, version)
+
 
+def allocate_slices(
+    slices: DataFrame, shutdown: DataFrame, by: Sequence[str] = (), version: str | None = None
+) -> DataFrame:
+    """As :func:`allocate_months`, from monthly values already summed to their slice.
 
-def allocate_slices(slices: DataFrame, shutdown: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """As :func:`allocate_months`, from monthly values already summed to their slice."""
+    The periods of one version are twelve rows a year and are broadcast; those of all versions
+    are left to adaptive execution, which broadcasts them while they are small and splits a
+    month that holds most slices otherwise.
+    """
     totals = full_month_totals(slices).withColumnRenamed("month", "period")
-    periods = _shutdown_periods(shutdown, F.trunc("day", "MM"))
+    periods = month_periods(shutdown)
+    if version is not None:
+        periods = F.broadcast(periods)
     return _open_days(totals, periods, F.col("period"), F.last_day("period"), by)
 
 
@@ -310,5 +319,6 @@ def allocate_interval(
     slices = monthly_slices(monthly_plan(plan), materials, by)
     first, last = cal.date_lit(start), cal.date_lit(end)
     totals = prorated_totals(slices, start, end, by).withColumn("period", first)
-    periods = _shutdown_periods(shutdown, first)
+    # One version, one period: a single row.
+    periods = F.broadcast(_shutdown_periods(shutdown, first))
     return _open_days(totals, periods, first, last, by)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from planact.functions import dates
 from planact.functions import rounding as r
 from planact.operators import calendar as cal
+from planact.schemas import PART_MONTH
 
 SUMMED = ("run_flag", "feed", "dust_set", "dust_out", "coal", "slag")
 
@@ -23,6 +24,8 @@ def in_report_range(telemetry: DataFrame, start: cal.DateLike) -> DataFrame:
     first = dt.datetime.combine(cal.month_of(start), dt.time())
     stop = dt.datetime.combine(cal.end_of_month(start) + dt.timedelta(days=2), dt.time())
     ts = F.col("ts")
+    if PART_MONTH in telemetry.columns:
+        telemetry = telemetry.where(F.col(PART_MONTH).between(F.lit(first.date()), F.lit(cal.month_of(stop.date()))))
     return telemetry.where(
         (ts >= F.lit(first).cast("timestamp_ntz")) & (ts < F.lit(stop).cast("timestamp_ntz"))
     )

@@ -117,7 +117,7 @@ def category_sums(
         F.col("day").between(F.lit(cal.month_of(lo)), F.lit(cal.end_of_month(lo)))
     )
     slices = plan_by_label(plan.monthly_plan(month_plan), inputs.materials)
-    planned = plan.allocate_slices(slices, month_down, by=("label",))
+    planned = plan.allocate_slices(slices, month_down, ("label",), version)
     wanted = F.col("day").between(F.lit(lo), F.lit(hi))
     plan_sums = planned.groupBy("label").agg(
         *[F.coalesce(F.sum(F.when(wanted, F.col(m))), F.lit(0)).alias(m) for m in (plan.BUDGET, plan.FORECAST)]
@@ -132,7 +132,7 @@ def category_sums(
 def category_sums_history(inputs: Inputs, version: str | None = None) -> DataFrame:
     """The same lines for every month and version, each full month as its own request."""
     slices = plan_by_label(plan.monthly_plan(plan.in_version(inputs.plan, version)), inputs.materials)
-    planned = plan.allocate_slices(slices, plan.in_version(inputs.shutdown, version), by=("label",))
+    planned = plan.allocate_slices(slices, plan.in_version(inputs.shutdown, version), ("label",), version)
     plan_sums = planned.groupBy("version", F.trunc("day", "MM").alias("month"), "label").agg(
         *[F.sum(m).alias(m) for m in (plan.BUDGET, plan.FORECAST)]
     )

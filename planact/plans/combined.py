@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planact.operators import actuals
+from planact.operators import actuals, plan
 from planact.operators import calendar as cal
 from planact.plans import category_sums, daily_report, material_report
 from planact.session import stage
@@ -26,13 +26,18 @@ class CombinedReport:
 def combined_report(inputs: Inputs, start: cal.DateLike, end: cal.DateLike, version: str) -> CombinedReport:
     """The three reports and the parameters they were made with.
 
-    The day-by-material aggregate of the movements is written once to the shared folder and
-    feeds all three, so the large table is scanned once for the whole request.
+    The day-by-material aggregate of the movements and the month's plan per material are each
+    written once to the shared folder and feed all three, so the large tables are scanned once
+    for the whole request.
     """
     lo, hi = cal.as_date(start), cal.as_date(end)
+    month_plan = plan.in_version(inputs.plan, version).where(F.col("month") == F.lit(cal.month_of(lo)))
+    keys = ["version", "material_id", "month", "measure"]
+    summed = month_plan.groupBy(*keys).agg(F.sum("value").alias("value"))
+    inputs = replace(inputs, plan=stage(summed, "month-plan"))
     mass = stage(actuals.day_material_mass(inputs.movements, lo, hi), "day-material")
     # Daily and per-material figures stop at the end of the first month, the sums do not.
-    month_mass = actuals.in_interval(mass, lo, min(hi, cal.end_of_month(lo)))
+    month_mass = cal.in_interval(mass, lo, min(hi, cal.end_of_month(lo)))
     return CombinedReport(
         params=parameters(mass.sparkSession, lo, hi, version),
         daily=daily_report.daily_report(inputs, lo, hi, version, mass=month_mass),

@@ -87,12 +87,12 @@ def daily_numbers(
     lo, hi = cal.as_date(start), cal.as_date(end)
     month, last = cal.month_of(lo), cal.end_of_month(lo)
     plan_month = plan.allocate_months(inputs.plan, inputs.shutdown, inputs.materials, version=version, month=lo)
-    plan_days = actuals.in_interval(plan_month.drop("version"), lo, hi)
+    plan_days = cal.in_interval(plan_month.drop("version"), lo, hi)
     if mass is None:
         mass = actuals.day_material_mass(inputs.movements, lo, min(hi, last))
     measures = actuals.daily_measures(mass, inputs.materials)
     plant = telemetry.by_production_day(telemetry.in_report_range(inputs.telemetry, lo))
-    plant = actuals.in_interval(plant, lo, hi)
+    plant = cal.in_interval(plant, lo, hi)
     if complete_days:
         sums = [c for c in plant.columns if c != "day"]
         plant = cal.days(mass.sparkSession, lo, hi).join(plant, "day", "left").fillna(0, sums)

@@ -24,6 +24,9 @@ TELEMETRY = _struct(
     ts=_INSTANT, run_flag=_SENSOR, feed=_SENSOR, coal=_SENSOR, dust_set=_SENSOR, humidity=_SENSOR,
     dust_out=_SENSOR, slag=_SENSOR,
 )
+# Facts with a day or an instant are stored in partitions of this month column.
+PART_MONTH = "part_month"
+
 LEDGER = _struct(source_file=_TEXT, loaded_at=_INSTANT)
 
 # --- fixed values: columns of the movement feed, by type -------------------------------------

@@ -19,7 +19,7 @@ from planact.operators import dedupe, upsert
 from planact.session import stage
 from planact.sources.tables import exists, read_or_empty
 
-MONTH = "part_month"
+MONTH = schemas.PART_MONTH
 
 
 def month_of(column: str) -> Column:
@@ -50,16 +50,18 @@ def append_movements(spark: SparkSession, cleaned: DataFrame, path: str) -> None
 
 
 def append_plan(rows: DataFrame, path: str) -> None:
-    """Append plan rows stamped with one load time."""
-    rows.withColumn("inserted_at", F.localtimestamp()).select(*schemas.PLAN_FACT.fieldNames()).write.mode(
-        "append"
-    ).parquet(path)
+    """Append plan rows stamped with one load time.
+
+    Partitioned by version, which every report and check names, and sorted by month inside,
+    so that a report reads one version and skips row groups of other months.
+    """
+    stamped = rows.withColumn("inserted_at", F.localtimestamp()).select(*schemas.PLAN_FACT.fieldNames())
+    stamped.sortWithinPartitions("version", "month").write.mode("append").partitionBy("version").parquet(path)
 
 
 def append_shutdown(rows: DataFrame, path: str) -> None:
-    rows.withColumn("inserted_at", F.localtimestamp()).select(*schemas.SHUTDOWN_FACT.fieldNames()).write.mode(
-        "append"
-    ).parquet(path)
+    stamped = rows.withColumn("inserted_at", F.localtimestamp()).select(*schemas.SHUTDOWN_FACT.fieldNames())
+    stamped.sortWithinPartitions("version", "day").write.mode("append").partitionBy("version").parquet(path)
 
 
 def append_missing_members(spark: SparkSession, path: str, members: DataFrame) -> None:
@@ -91,7 +93,7 @@ def upsert_partitions(
     if not exists(spark, path):
         source.select(*schema.fieldNames()).write.partitionBy(partition).parquet(path)
         return
-    touched = source.select(partition).distinct()
+    touched = dedupe.touched_partitions(source, F.col(partition), partition)
     target = spark.read.schema(schema).parquet(path).join(touched, partition, "left_semi")
     merged = stage(upsert.upsert(target.select(*schema.fieldNames()), source, keys), "upsert")
     (

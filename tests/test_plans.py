@@ -7,8 +7,9 @@ from conftest import day, rows
 from pyspark.sql import functions as F
 
 from planact import schemas
-from planact.operators import actuals, dedupe
+from planact.operators import actuals, dedupe, plan
 from planact.plans import category_sums, daily_report, material_report
+from planact.sinks import tables as sink
 from planact.sources import star_views as sv
 
 SF = "/root/testdata/sf0.001"
@@ -70,6 +71,34 @@ def test_number_of_scans_does_not_grow_with_days(data):
     assert short.count("FileScan") == long.count("FileScan")
 
 
+def test_stored_movements_are_read_by_partition(spark, data, tmp_path):
+    """A report reads the months of its interval, an append the months of its batch."""
+    path = str(tmp_path / "t")
+    sink.append_by_month(data.movements, "day", path)
+    stored = spark.read.parquet(path)
+    text = plan_of(actuals.daily_total(stored, *MONTH))
+    scan = next(line for line in text.splitlines() if "FileScan" in line)
+    filters = re.search(r"PartitionFilters: \[(.*?)\], Pushed", scan).group(1)
+    assert "part_month" in filters and "1998-01-01" in filters
+    assert rows(actuals.daily_total(stored, *MONTH)) == rows(actuals.daily_total(data.movements, *MONTH))
+    batch = data.movements.limit(5)
+    text = plan_of(dedupe.new_movements(batch, stored, schemas.PART_MONTH))
+    assert "dynamicpruning" in text
+    assert dedupe.new_movements(batch, stored, schemas.PART_MONTH).isEmpty()
+
+
+def test_plan_is_read_by_version(spark, data, tmp_path):
+    path = str(tmp_path / "p")
+    sink.append_plan(data.plan.drop("inserted_at"), path)
+    stored = spark.read.schema(schemas.PLAN_FACT).parquet(path)
+    text = plan_of(plan.allocate_months(stored, data.shutdown, data.materials, version="V0", month="1998-01-01"))
+    scan = next(line for line in text.splitlines() if "FileScan" in line and path in line)
+    assert "version" in re.search(r"PartitionFilters: \[(.*?)\], Pushed", scan).group(1)
+    assert "EqualTo(month,1998-01-01)" in scan
+    kept = ("version", "material_id", "month", "budget", "forecast")
+    assert rows(plan.monthly_plan(stored), *kept) == rows(plan.monthly_plan(data.plan), *kept)
+
+
 def test_hot_document_is_split(spark):
     """A third of the new rows carry one key; adaptive execution splits its partition."""
     hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id").cast("string")))
