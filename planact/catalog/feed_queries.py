@@ -48,9 +48,8 @@ def _months() -> list[dt.date]:
 def write_plan_sheet(spark: SparkSession, sf: str, measure: str, folder: str) -> str:
     """One plan sheet of one version: months as columns, a version cell on top, some bad ids."""
     path = f"{folder}/{measure}"
-    wide = plan.pivot_months(
-        plan.in_version(sv.plan(spark, sf), _VERSION).where(F.col("measure") == measure), ["material_id"], _months()
-    )
+    facts = plan.in_version(sv.plan(spark, sf), _VERSION).where(F.col("measure") == measure)
+    wide = plan.pivot_months(facts, ["material_id"], _months(), (measure,))
     names = {c: m for m, c in zip(_months(), plan.month_columns(_months(), (measure,)))}
     rows = wide.join(sv.materials(spark, sf), "material_id").select(
         "material_name",

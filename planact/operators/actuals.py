@@ -56,15 +56,24 @@ def day_material_mass(
     movements: DataFrame, start: cal.DateLike | None = None, end: cal.DateLike | None = None
 ) -> DataFrame:
     """(day, material_id) with the milligrams of each slice; null where a slice had no row."""
-    slices = slice_conditions()
-    used = slices["raw"] | slices["recirculate"] | slices["flux"]
-    mg = r.milligrams("kg")
-    return (
+    rows = (
         cal.in_interval(movements, start, end)
         .where(both_places())
-        .where(used)
+        .select("day", "material_id", "place", "kg", mat.fold(F.col("cls")).alias("kind"))
+    )
+    kind = F.col("kind")
+    wanted = kind.isin(CLASS_RAW, CLASS_FLUX) | ((kind == CLASS_RECIRCULATE) & main_place())
+    conditions = {
+        "raw_main": (kind == CLASS_RAW) & main_place(),
+        "raw": kind == CLASS_RAW,
+        "recirculate": kind == CLASS_RECIRCULATE,
+        "flux": kind == CLASS_FLUX,
+    }
+    mg = r.milligrams("kg")
+    return (
+        rows.where(wanted)
         .groupBy("day", "material_id")
-        .agg(*[F.sum(F.when(cond, mg)).alias(f"{name}_mg") for name, cond in slices.items()])
+        .agg(*[F.sum(F.when(cond, mg)).alias(f"{name}_mg") for name, cond in conditions.items()])
     )
 
 

@@ -58,11 +58,16 @@ def month_columns(months: Sequence[dt.date], measures: Sequence[str] = (BUDGET,
     return [f"{MEASURE_PREFIX[m]}{d.strftime('%b_%y').lower()}" for m in measures for d in months]
 
 
-def pivot_months(plan: DataFrame, ids: Sequence[str], months: Sequence[dt.date]) -> DataFrame:
+def pivot_months(
+    plan: DataFrame,
+    ids: Sequence[str],
+    months: Sequence[dt.date],
+    measures: Sequence[str] = (BUDGET, FORECAST),
+) -> DataFrame:
     """Back to one column per measure and month; the columns are named by the caller's months."""
     prefix = F.when(F.col("measure") == BUDGET, MEASURE_PREFIX[BUDGET]).otherwise(MEASURE_PREFIX[FORECAST])
     labelled = plan.withColumn("column", F.concat(prefix, dates.month_label(F.col("month"))))
-    return labelled.groupBy(*ids).pivot("column", month_columns(months)).agg(
+    return labelled.groupBy(*ids).pivot("column", month_columns(months, measures)).agg(
         F.sum("value").cast("decimal(18,2)")
     )
 

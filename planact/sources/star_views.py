@@ -100,8 +100,8 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _version(order_key: str):
-    return F.concat(F.lit("V"), (F.col(order_key) % 3).cast("string"))
+def _version(rest: str):
+    return F.concat(F.lit("V"), F.col(rest).cast("string"))
 
 
 def _loaded(version):
@@ -112,26 +112,27 @@ def _loaded(version):
 
 
 def plan_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Budget and forecast per version, material and month."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    """Budget and forecast per version, material and month.
+
+    Grouped on whole numbers and dates; the texts are made from the groups.
+    """
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_orderkey") % 3).alias("rest"), F.to_date(F.trunc("o_orderdate", "MM")).alias("month")
+    )
     cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
     kept = F.rint((1 - F.col("l_discount")) * 100).cast("bigint")
     return (
         table(spark, sf_dir, "lineitem")
         .select("l_orderkey", "l_partkey", cents.alias("cents"), (cents * kept).alias("kept"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(
-            _version("o_orderkey").alias("version"),
-            F.col("l_partkey").cast("string").alias("material_id"),
-            F.to_date(F.trunc("o_orderdate", "MM")).alias("month"),
-        )
+        .groupBy("rest", "l_partkey", "month")
         .agg(F.sum("cents").alias("b"), F.sum("kept").alias("f"))
         .select(
-            "version",
-            "material_id",
+            _version("rest").alias("version"),
+            F.col("l_partkey").cast("string").alias("material_id"),
             "month",
-            (F.col("b").cast("decimal(19,0)") * F.expr("0.01BD")).cast("decimal(18,2)").alias(BUDGET),
-            (F.col("f").cast("decimal(19,0)") * F.expr("0.0001BD")).cast("decimal(18,2)").alias(FORECAST),
+            F.expr("CAST(CAST(b AS DECIMAL(19,0)) * 0.01BD AS DECIMAL(18,2))").alias(BUDGET),
+            F.expr("CAST(CAST(f AS DECIMAL(19,0)) * 0.0001BD AS DECIMAL(18,2))").alias(FORECAST),
         )
     )
 
@@ -155,8 +156,9 @@ def shutdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     wide = (
         table(spark, sf_dir, "orders")
-        .groupBy(_version("o_orderkey").alias("version"), F.to_date("o_orderdate").alias("day"))
+        .groupBy((F.col("o_orderkey") % 3).alias("rest"), F.to_date("o_orderdate").alias("day"))
         .agg(hours("F", BUDGET), hours("P", FORECAST))
+        .withColumn("version", _version("rest"))
     )
     pairs = F.array(
         *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("hours")) for m in (BUDGET, FORECAST)]
