@@ -13,7 +13,7 @@ from planact.catalog.core import query
 from planact.functions import cleaning, dates
 from planact.operators import plan
 from planact.plans import feed_loads, plan_load
-from planact.session import scratch_path
+from planact.session import scratch_path, stage
 from planact.sinks import tables as sink
 from planact.sources import grids, ledger, movements, telemetry
 from planact.sources import star_views as sv
@@ -58,6 +58,7 @@ def write_plan_sheet(spark: SparkSession, sf: str, measure: str, folder: str) ->
         "category",
         *[F.col(c).cast("string").alias(f"{m} 00:00:00") for c, m in names.items()],
     )
+    rows = stage(rows, "sheet")
     spare = [F.lit(None).cast("string").alias(c) for c in rows.columns[1:]]
     title = spark.range(1).select(F.lit(_VERSION).alias("material_name"), *spare)
     bad = rows.where(F.col("category") == "P").withColumn("id", F.substring("id", 2, 6))

@@ -62,11 +62,21 @@ def new_materials(new_plan: DataFrame, plan_fact: DataFrame) -> DataFrame:
     return wanted.join(stored, "material_id", "left_anti")
 
 
+def _asked_for(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored rows of the keys the new rows ask about.
+
+    The new rows are one workbook, the store is all history: joined in before the aggregate,
+    they keep everything else out of its shuffle.
+    """
+    return stored.join(new.select(*keys).distinct(), keys, "left_semi")
+
+
 def changed_versions(new_plan: DataFrame, plan_fact: DataFrame) -> DataFrame:
     """Materials whose latest stored version is not the new one (or that have none)."""
     wanted = new_plan.select("material_id", "measure", "version").distinct()
-    stored = latest_versions(plan_fact).withColumnRenamed("version", "stored_version")
-    return wanted.join(stored, ["material_id", "measure"], "left").where(
+    keys = ["material_id", "measure"]
+    stored = latest_versions(_asked_for(plan_fact, new_plan, keys)).withColumnRenamed("version", "stored_version")
+    return wanted.join(stored, keys, "left").where(
         ~F.col("version").eqNullSafe(F.col("stored_version"))
     )
 
@@ -75,7 +85,7 @@ def changed_cells(new_plan: DataFrame, plan_fact: DataFrame, dim_time: DataFrame
     """New cells that differ from the latest stored value, months unknown to the calendar skipped."""
     if dim_time is not None:
         new_plan = new_plan.join(cal.key_of_month(dim_time), "month", "left_semi")
-    stored = latest_values(plan_fact).withColumnRenamed("value", "stored_value")
+    stored = latest_values(_asked_for(plan_fact, new_plan, CELL)).withColumnRenamed("value", "stored_value")
     joined = new_plan.select(*CELL, F.col("value").alias("new_value")).join(stored, CELL, "left")
     return joined.where(compare.value_changed(F.col("stored_value"), F.col("new_value"))).select(
         *CELL, "stored_value", "new_value"
@@ -88,10 +98,9 @@ def changed_shutdown(
     """New shutdown days without a stored value of their measure, or with a different one."""
     if dim_time is not None:
         new_shutdown = new_shutdown.join(cal.key_of_day(dim_time), "day", "left_semi")
-    stored = latest_shutdown(shutdown_fact).withColumnRenamed("hours", "stored_hours")
-    joined = new_shutdown.select("day", "measure", F.col("hours").alias("new_hours")).join(
-        stored, ["day", "measure"], "left"
-    )
+    keys = ["day", "measure"]
+    stored = latest_shutdown(_asked_for(shutdown_fact, new_shutdown, keys)).withColumnRenamed("hours", "stored_hours")
+    joined = new_shutdown.select(*keys, F.col("hours").alias("new_hours")).join(stored, keys, "left")
     differs = F.col("stored_hours").isNull() | ~compare.is_close(F.col("stored_hours"), F.col("new_hours"))
     return joined.where(differs).select("day", "measure", "stored_hours", "new_hours")
 

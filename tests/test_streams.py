@@ -54,10 +54,11 @@ def test_stored_documents_are_not_added_again(spark, tmp_path):
 def test_bounded_dedup(spark, tmp_path):
     landed = tmp_path / "in"
     landed.mkdir()
-    (landed / "a.csv").write_text(movement_lines(("d1", "2025-01-01"), ("d1", "2025-01-01"), (" d1", "2025-01-01"), ("d2", "2025-01-01")))
+    (landed / "a.csv").write_text(movement_lines(("d1", "2025-01-01"), ("d1", "2025-01-01"), (" d1", "2025-01-01"), ("d2", "2025-01-01"), ("d3", "?")))
     kept = ingest.distinct_movements(ingest.stream_movement_files(spark, str(landed)))
     ingest.append_stream(kept, "BucDat", str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    # The row without a readable date is kept, not taken for late.
+    assert rows(spark.read.parquet(str(tmp_path / "t")).selectExpr("trim(BpzIdt)")) == [("d1",), ("d2",), ("d3",)]
 
 
 def test_production_days_and_late_rows(spark, tmp_path):
