@@ -147,7 +147,7 @@ def test_movement_folder(spark, tmp_path):
     (landed / "notes.txt").write_text("not a feed")
     feed_loads.load_movements(spark, str(landed), table)
     feed_loads.load_movements(spark, str(landed), table)
-    core = rows(movements.movement_core(spark.read.parquet(table)))
+    core = rows(movements.movement_core(spark.read.parquet(table)), *schemas.MOVEMENT.fieldNames())
     assert core == [("d1", "M1", " ", day("2025-01-05"), "ROH", 55, -1234.5), ("d2", "M1", " ", day("1970-01-01"), "ROH", -1, 0.0)]
     (landed / "b.csv").write_text(HEADER + "d1,M1,ROH,55,2025-01-06,-1,x\nd1,M1,ROH,55,2025-01-05,-1,x\n")
     feed_loads.load_movements(spark, str(landed), table)
