@@ -257,16 +257,33 @@ def day_value(measure: str) -> Column:
     )
 
 
+def _rated(totals: DataFrame, periods: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Slices with a defined plan, with their rates and the shutdown hours of their days."""
+    defined = totals.where((F.col(f"{BUDGET}_total") != 0) | (F.col(f"{FORECAST}_total") != 0))
+    return rates(defined.join(periods, ["version", "period"]), first, last)
+
+
 def _open_days(
     totals: DataFrame, periods: DataFrame, first: Column, last: Column, by: Sequence[str]
 ) -> DataFrame:
     """Totals per period and slice to one value per day, net of shutdown hours."""
-    defined = totals.where((F.col(f"{BUDGET}_total") != 0) | (F.col(f"{FORECAST}_total") != 0))
-    rated = rates(defined.join(periods, ["version", "period"]), first, last)
-    opened = cal.each_day(rated, first, last)
+    opened = cal.each_day(_rated(totals, periods, first, last), first, last)
     return opened.select("version", "day", *by, *[day_value(m).alias(m) for m in (BUDGET, FORECAST)])
 
 
+def month_rates(
+    plan: DataFrame, shutdown: DataFrame, materials: DataFrame, version: str, month: cal.DateLike
+) -> DataFrame:
+    """Rates and shutdown hours of one version and month over all materials: one row, or none
+    if the plan of that month is not defined."""
+    first, last = F.lit(cal.month_of(month)), F.lit(cal.end_of_month(month))
+    month_plan = in_version(plan, version).where(F.col("month") == first)
+    month_down = in_version(shutdown, version).where(F.col("day").between(first, last))
+    totals = full_month_totals(monthly_slices(monthly_plan(month_plan), materials))
+    periods = F.broadcast(month_periods(month_down))
+    return _rated(totals.withColumnRenamed("month", "period"), periods, first, last)
+
+
 def allocate_months(
     plan: DataFrame,
     shutdown: DataFrame,

@@ -138,6 +138,13 @@ def category_sums_history(inputs: Inputs, version: str | None = None) -> DataFra
     )
     mass = actuals.day_material_mass(inputs.movements)
     actual_sums = actual_by_label(mass, inputs.materials, by_month=True)
-    keys = _line_names(plan_sums.select("version", "month").distinct())
-    lines = keys.join(plan_sums, ["version", "month", "label"], "left").join(actual_sums, ["month", "label"], "left")
+    # The labels of a month as one map of at most eleven entries, so that every line is shown
+    # without planning the month a second time.
+    sums = F.struct("label", F.struct(plan.BUDGET, plan.FORECAST).alias("sums"))
+    by_month = plan_sums.groupBy("version", "month").agg(F.map_from_entries(F.collect_list(sums)).alias("on_label"))
+    found = F.try_element_at("on_label", F.col("label"))
+    lines = _line_names(by_month).select(
+        "version", "month", "label", *[found[m].alias(m) for m in (plan.BUDGET, plan.FORECAST)]
+    )
+    lines = lines.join(actual_sums, ["month", "label"], "left")
     return _shape(lines, ["version", "month"])

@@ -45,11 +45,11 @@ TITLES = {
 # --------------------------------------------------------------------------------------------------
 
 
-def _assemble(plan_days: DataFrame, plant: DataFrame, measures: DataFrame, how: str, keys: list[str]) -> DataFrame:
+def _assemble(plan_days: DataFrame, plant: DataFrame, measures: DataFrame, keys: list[str]) -> DataFrame:
     """Join the three sides. Days of the plan without telemetry show zeros throughout."""
     figures = telemetry.day_figures(plant).withColumn("has_telemetry", F.lit(True))
     observed = figures.join(measures, "day", "left")
-    joined = plan_days.join(observed, "day", how)
+    joined = plan_days.join(observed, "day", "left")
     seen = F.col("has_telemetry").isNotNull()
 
     def shown(name: str, value: Column) -> Column:
@@ -86,8 +86,15 @@ def daily_numbers(
     """
     lo, hi = cal.as_date(start), cal.as_date(end)
     month, last = cal.month_of(lo), cal.end_of_month(lo)
-    plan_month = plan.allocate_months(inputs.plan, inputs.shutdown, inputs.materials, version=version, month=lo)
-    plan_days = cal.in_interval(plan_month.drop("version"), lo, hi)
+    rates = plan.month_rates(inputs.plan, inputs.shutdown, inputs.materials, version, lo)
+    # One row or none: a scalar. Without it no day is left.
+    defined = rates.select(F.struct("budget_rate", "forecast_rate", "hours_on").alias("plan")).scalar()
+    days = cal.days(inputs.plan.sparkSession, lo, hi).withColumn("plan", defined)
+    days = days.where(F.col("plan").isNotNull()).select("day", "plan.*")
+    in_month = F.col("day").between(F.lit(month), F.lit(last))
+    plan_days = days.select(
+        "day", *[F.when(in_month, plan.day_value(m)).alias(m) for m in (plan.BUDGET, plan.FORECAST)]
+    )
     if mass is None:
         mass = actuals.day_material_mass(inputs.movements, lo, min(hi, last))
     measures = actuals.daily_measures(mass, inputs.materials)
@@ -96,9 +103,9 @@ def daily_numbers(
     if complete_days:
         sums = [c for c in plant.columns if c != "day"]
         plant = cal.days(mass.sparkSession, lo, hi).join(plant, "day", "left").fillna(0, sums)
-    report = _assemble(plan_days, plant, measures, "full_outer", ["day"])
-    # A defined plan has a row for every day of its month, so one existence test decides.
-    return report.where(plan_month.where(F.col("day") == F.lit(month)).exists())
+    report = _assemble(plan_days, plant, measures, ["day"])
+    # Every day of a defined month is planned; other days appear if they have telemetry.
+    return report.where(F.col("budget").isNotNull() | F.col("has_telemetry"))
 
 
 def daily_report(
@@ -117,7 +124,7 @@ def daily_history(inputs: Inputs, version: str | None = None) -> DataFrame:
     mass = actuals.day_material_mass(inputs.movements)
     measures = actuals.daily_measures(mass, inputs.materials)
     plant = telemetry.by_production_day(inputs.telemetry)
-    return _assemble(plan_days, plant, measures, "left", ["version", "day"]).drop("has_telemetry")
+    return _assemble(plan_days, plant, measures, ["version", "day"]).drop("has_telemetry")
 
 
 def render(numbers: DataFrame) -> DataFrame:
