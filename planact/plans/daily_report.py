@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,11 +137,3 @@ def render(numbers: DataFrame) -> DataFrame:
         "pb_in_slag": display.percent(F.col("pb_in_slag"), seen),
     }
     return numbers.orderBy("day").select(*[texts[c].alias(TITLES[c]) for c in COLUMNS])
-
-
-def as_interval(start: cal.DateLike, end: cal.DateLike) -> tuple[dt.datetime, dt.datetime]:
-    """A pair of days as the instants a report covers: 00:00 to 23:59."""
-    return (
-        dt.datetime.combine(cal.as_date(start), dt.time(0, 0)),
-        dt.datetime.combine(cal.as_date(end), dt.time(23, 59)),
-    )

@@ -25,7 +25,6 @@ from planact.operators.plan import BUDGET, FORECAST
 PLAN_LEADING = ("material_name", "material_id", "dummy", "category")
 SHUTDOWN_DATE_POSITION = 0
 SHUTDOWN_HOURS_POSITION = 4
-SHUTDOWN_HEADER_ROWS = 2
 CATALOGUE_COLUMNS = ("material_id", "material_name", "material_type", "category")
 # --------------------------------------------------------------------------------------------
 
