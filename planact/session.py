@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Used only where the session names no shared folder (tests, a laptop).
-_LOCAL_SCRATCH = "/tmp/planact-scratch"
-
 # Settings every job relies on. AQE sizes shuffle partitions, splits skewed join
 # partitions and turns a shuffle join into a broadcast join once the size is known.
 DEFAULTS = {
@@ -20,6 +20,10 @@ DEFAULTS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Generated methods above this size are not compiled by the JVM; split them instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A sum beyond the range of its type raises instead of wrapping.
+    "spark.sql.ansi.enabled": "true",
+    # Rows handed to Python at once; texts may be long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 # Settings a session takes only when it is created.
@@ -41,18 +45,63 @@ def build_session(
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Put the defaults above on a session somebody else has built."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``), set here only if unset."""
+    """The shared folder of the cluster (``spark.checkpoint.dir``).
+
+    Where the session names none, a local master gets a folder inside its warehouse; any other
+    master is refused, because its executors would each write to a disk of their own.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = _LOCAL_SCRATCH
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder shared by the cluster (master {master})")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/planact-scratch"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, never reused folder below the shared scratch folder."""
-    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    for folders in _OPEN:
+        folders.append(path)
+    return path
+
+
+# Lists of the folders made inside each open ``staging`` block, the innermost last.
+_OPEN: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove every scratch folder made inside this block when it ends.
+
+    For calls that write their last output inside the block. A call that hands back a DataFrame
+    over staged rows stays outside of one; its folders go with the caller's block.
+    """
+    folders: list[str] = []
+    _OPEN.append(folders)
+    try:
+        yield
+    finally:
+        _OPEN.remove(folders)
+        for path in folders:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file system, if it is there."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
