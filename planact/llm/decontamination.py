@@ -60,6 +60,12 @@ def _cuts(raw: np.ndarray, inside: np.ndarray):
     return inside | joint, breaks
 
 
+def _accented_capital(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a two-byte capital of Latin-1 begins there."""
+    second = data[np.minimum(at + 1, len(data) - 1)]
+    return (data[np.minimum(at, len(data) - 1)] == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+
+
 def _hash_of(word: str) -> np.uint64:
     data = np.frombuffer(word.encode(), np.uint8)
     sums = prefix(data.astype(np.uint64) + np.uint64(1))
@@ -89,7 +95,13 @@ def templates(data: np.ndarray, offsets: np.ndarray):
         np.cumsum(np.isin(data[low : int(w.end[-1])], np.frombuffer(b".!?\n:", np.uint8)), out=stops[1:])
         going_on = same_text.copy()
         going_on[1:] &= stops[w.start[1:] - low] == stops[w.end[:-1] - low]
-        capital = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+        # A capital and then a small letter: words in capitals throughout are words like others.
+        third = data[np.minimum(w.start + 2, len(data) - 1)]
+        plain, accented = (first >= 65) & (first <= 90), _accented_capital(data, w.start)
+        after = np.where(accented, third, second)
+        follows = w.end - w.start > np.where(accented, 2, 1)
+        small = ((after >= 97) & (after <= 122)) | (after == 0xC3) & ~_accented_capital(data, w.start + np.where(accented, 2, 1))
+        capital = (plain | accented) & follows & small
         name = capital & going_on & ~unit
         template = w.hash.copy()
         template[number], template[unit], template[name] = _NUMBER, _UNIT, _NAME

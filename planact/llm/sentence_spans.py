@@ -8,7 +8,7 @@ other one covers is removed.
 A sentence ends behind a word with a final stop, exclamation or question mark that no lower-case
 letter follows, at the end of a line, or at the end of the text. Sentences of more than
 ``LONG_SENTENCE`` words are cut at words chosen by their hash, so that a passage is cut alike
-wherever it stands. Case (A-Z) and white space do not count.
+wherever it stands. Case (A-Z and Latin-1 letters) and white space do not count.
 
 Defined results: null and empty texts, and texts of fewer sentences or words, have no runs. Equal
 rows (same id and text) count as one document. Of documents that tie, the smaller doc_id is first,

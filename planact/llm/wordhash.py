@@ -24,6 +24,15 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def fold(raw: np.ndarray) -> np.ndarray:
+    """A-Z and the two-byte capitals of Latin-1 as small letters; all else stays."""
+    out = LOWER[raw]
+    if len(raw) > 1:
+        second = raw[1:]
+        out[1:][(raw[:-1] == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)] += 32
+    return out
+
+
 def powers(n: int, base: int = _BASE, _kept: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
     """The first ``n`` powers of ``base`` and of its inverse, modulo 2**64."""
     have = _kept.get(base)
@@ -91,7 +100,7 @@ def _slices(inside: np.ndarray) -> Iterator[tuple[int, int]]:
 def words(
     data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = WHITESPACE, cuts=None, prefix_bytes: tuple[int, ...] = ()
 ) -> Iterator[Words]:
-    """Words as runs of bytes that ``outside`` does not mark, with A-Z folded in the hash.
+    """Words as runs of bytes that ``outside`` does not mark, with capitals folded in the hash (see ``fold``).
 
     ``cuts(folded)`` may give extra marks: True where a word ends before this byte; ``inside`` may
     be widened by it too, as it returns both. ``prefix_bytes``: also hash that many first bytes.
@@ -114,7 +123,7 @@ def words(
         ends = inside.copy()
         ends[:-1] &= ~inside[1:] | begins[1:]
         end = np.flatnonzero(ends) + 1
-        folded = LOWER[raw]
+        folded = fold(raw)
         hashes = np.empty(len(start), np.uint64)
         parts = [np.empty(len(start), np.uint64) for _ in prefix_bytes]
         for a, b in _slices(inside) if len(raw) > SLICE else [(0, len(raw))]:
