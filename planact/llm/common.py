@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from planact.session import stage
 
+#: Most that a broadcast table may take in memory.
+BROADCAST_BYTES = 32 << 20
+_KEY_BYTES = 100  # a row of two LONG keys in a hash table, with room to spare
+
 
 def col(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -39,10 +43,19 @@ def keyed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
+def sized(df: DataFrame, row_bytes: int, extra_bytes: int = 0) -> DataFrame:
+    """``df``, a written table, to be broadcast if counting shows that it is small enough.
+
+    Its rows are counted (on Parquet, from the footers). Up to ``BROADCAST_BYTES`` the other side of a
+    join stays where it is; beyond, the join shuffles both. The result is the same.
+    """
+    return F.broadcast(df) if df.count() * row_bytes + extra_bytes <= BROADCAST_BYTES else df
+
+
 def _matched(df: DataFrame, marked: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
     names = fresh(df, "_m_id"), fresh(df, "_m_key")
     marked = marked.select(F.col("doc_id").alias(names[0]), F.col("key").alias(names[1])).distinct()
-    marked = stage(marked, "marked")
+    marked = sized(stage(marked, "marked"), _KEY_BYTES)
     same = marked[names[0]].eqNullSafe(df[f"`{id_col}`"].cast("long")) & (
         marked[names[1]] == F.xxhash64(df[f"`{id_col}`"], F.coalesce(df[f"`{text_col}`"], F.lit("")))
     )
@@ -52,8 +65,7 @@ def _matched(df: DataFrame, marked: DataFrame, how: str, id_col: str, text_col:
 def without(df: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``df`` whose (doc_id, key) is not in ``marked``; all columns stay as they are.
 
-    ``marked`` is written first: its size is then known, so that a small one is broadcast and the
-    texts stay where they are, and a large one is joined by shuffling.
+    ``marked`` is written first, so that its size is known: see ``sized``.
     """
     return _matched(df, marked, "left_anti", id_col, text_col)
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from planact.llm.common import col, fresh, text_key
+from planact.llm.common import col, fresh, sized, text_key
 from planact.session import stage
 
 SCOPE = 200
@@ -171,8 +171,9 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scop
     spans = found.dropDuplicates(["doc_id", "key"]).select(
         F.col("doc_id").alias(id_name), F.col("key").alias(key_name), F.col("spans").alias(spans_col)
     )
-    # Written first: a small table of spans is broadcast, and the texts stay where they are.
     spans = stage(spans, "secret-spans")
+    (total,) = spans.agg(F.coalesce(F.sum(F.size(spans_col)), F.lit(0))).first()
+    spans = sized(spans, 150, 32 * total)
     same = spans[id_name].eqNullSafe(docs[f"`{id_col}`"].cast("long")) & (spans[key_name] == text_key(id_col, text_col))
     joined = docs.join(spans, same, "left")
     text = col(text_col)
