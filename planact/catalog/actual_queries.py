@@ -104,11 +104,16 @@ for _name, _where in _WHERE.items():
 @query(
     "monthly_totals",
     q.with_(q.MATERIAL, q.MOVEMENT, q.RAW_BY_MATERIAL)
+    + "select m.month, s.selection, cast(coalesce(t, 0) as double) tons "
+    "from (select distinct strftime(day, '%Y-%m') as month from v_movement where place in (53, 55)) m cross join ("
+    + " union all ".join(f"select '{name}' selection" for name in _WHERE)
+    + ") s left join ("
     + "\nunion all ".join(
-        f"select strftime(day, '%Y-%m') as month, '{name}' selection, cast(sum(t) as double) tons "
+        f"select strftime(day, '%Y-%m') as month, '{name}' selection, sum(t) t "
         f"from v_raw join v_material using (material_id) where {where} group by 1"
         for name, where in _WHERE.items()
-    ),
+    )
+    + ") x on x.month = m.month and x.selection = s.selection",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """All selections from one scan: one sum per selection, then one row per selection."""
@@ -121,7 +126,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         ]
     )
     long = measured.select(F.date_format("day", "yyyy-MM").alias("month"), F.inline(pairs))
-    return long.groupBy("month", "selection").agg(F.sum("tons").alias("tons")).where("tons > 0")
+    return long.groupBy("month", "selection").agg(F.sum("tons").alias("tons"))
 
 
 @query(

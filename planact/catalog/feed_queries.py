@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +15,7 @@ from planact.session import scratch_path, stage
 from planact.sinks import tables as sink
 from planact.sources import grids, ledger, movements, telemetry
 from planact.sources import star_views as sv
+from planact.streaming import ingest
 
 YEARS = (1996, 1997, 1998, 1999)
 _YEARS_SQL = ", ".join(str(y) for y in YEARS)
@@ -41,16 +40,13 @@ def _sheet_id():
     )
 
 
-def _months() -> list[dt.date]:
-    return [dt.date(y, m, 1) for y in range(1995, 2002) for m in range(1, 13) if (y, m) <= (2001, 8)]
-
-
 def write_plan_sheet(spark: SparkSession, sf: str, measure: str, folder: str) -> str:
     """One plan sheet of one version: months as columns, a version cell on top, some bad ids."""
     path = f"{folder}/{measure}"
     facts = plan.in_version(sv.plan(spark, sf), _VERSION).where(F.col("measure") == measure)
-    wide = plan.pivot_months(facts, ["material_id"], _months(), (measure,))
-    names = {c: m for m, c in zip(_months(), plan.month_columns(_months(), (measure,)))}
+    months = plan.months_of(facts)
+    wide = plan.pivot_months(facts, ["material_id"], months, (measure,))
+    names = {c: m for m, c in zip(months, plan.month_columns(months, (measure,)))}
     rows = wide.join(sv.materials(spark, sf), "material_id").select(
         "material_name",
         _sheet_id().alias("id"),
@@ -228,47 +224,75 @@ def raw_movements(spark: SparkSession, sf: str) -> DataFrame:
     return li.select(*columns, F.lit("x").alias("Unnamed: 39"))
 
 
-_CLEAN_SQL = """v_clean as (
-select concat(cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar)) "BpzIdt", cast(l_partkey as varchar) "MatIdt",
-case when l_linestatus = 'O' then concat('M', cast(l_partkey as varchar)) else ' ' end "KeziBez", ' ' "ChgNmr",
-case l_returnflag when 'R' then 'ROH' when 'A' then 'KRSM' else 'HIBE' end "MatArt",
-case when l_tax > 0.04 then 'late' end "BucPer",
-case when l_linenumber = 1 then -1 else l_linenumber end "VrgGrp", -1 "LOrtIdt",
-case when l_linenumber = 7 then '1970-01-01' else strftime(l_shipdate, '%Y-%m-%d') end "BucDat",
-case l_suppkey % 3 when 0 then 55 when 1 then 53 else 51 end "LPlzIdt",
-case when l_linenumber = 3 then 0.0::double else cast(cast(l_quantity as decimal(20,1)) as double) end "MngW",
-cast(cast(-l_quantity * 137 as decimal(20,3)) as double) "MngD", cast(cast(l_discount as decimal(20,2)) as double) "Pb",
-cast(cast(l_tax as decimal(20,2)) as double) "Zn", 0.0::double "Ag" from lineitem)"""
-
-_CLEAN_COLUMNS = (
-    "BpzIdt", "MatIdt", "KeziBez", "ChgNmr", "MatArt", "BucPer", "VrgGrp", "LOrtIdt", "BucDat", "LPlzIdt", "MngW",
-    "MngD", "Pb", "Zn", "Ag",
+_CLEAN_CELLS = {
+    "BpzIdt": "concat(cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar))",
+    "MatIdt": "cast(l_partkey as varchar)",
+    "KeziBez": "case when l_linestatus = 'O' then concat('M', cast(l_partkey as varchar)) else ' ' end",
+    "MatArt": "case l_returnflag when 'R' then 'ROH' when 'A' then 'KRSM' else 'HIBE' end",
+    "BucPer": "case when l_tax > 0.04 then 'late' end",
+    "VrgGrp": "case when l_linenumber = 1 then -1 else l_linenumber end",
+    "BucDat": "case when l_linenumber = 7 then '1970-01-01' else strftime(l_shipdate, '%Y-%m-%d') end",
+    "LPlzIdt": "case l_suppkey % 3 when 0 then 55 when 1 then 53 else 51 end",
+    "MngW": "case when l_linenumber = 3 then 0.0::double else cast(cast(l_quantity as decimal(20,1)) as double) end",
+    "MngD": "cast(cast(-l_quantity * 137 as decimal(20,3)) as double)",
+    "Pb": "cast(cast(l_discount as decimal(20,2)) as double)",
+    "Zn": "cast(cast(l_tax as decimal(20,2)) as double)",
+}
+_DEFAULT_SQL = {
+    **{c: "' '" for c in schemas.MOVEMENT_FEED_COLUMNS},
+    **{c: "-1" for c in ("VrgGrp", "MngEinhIdt", "LOrtIdt", "LPlzIdt", "LgrFirmIdt")},
+    **{c: "0.0::double" for c in "MngW MngD Pb Ag Au Cu S Zn FeO SiO2 CaO As Sb Bi Se Cl Cd".split()},
+}
+_CLEAN_SQL = (
+    "v_clean as (select "
+    + ", ".join(f'{_CLEAN_CELLS.get(c, _DEFAULT_SQL[c])} "{c}"' for c in schemas.MOVEMENT_FEED_COLUMNS)
+    + " from lineitem)"
 )
 
 
+def write_movement_files(raw: DataFrame, folder: str) -> str:
+    """Three files, or folders of them, with headers of their own: in order, permuted, with a column
+    too few (one that is always empty) and one too many."""
+    part = F.pmod(F.xxhash64("BpzIdt"), F.lit(3))
+    names = raw.columns
+    orders = [names, names[::-1], ["Unnamed: 39", *[c for c in names[7::-1] if c != "ChgNmr"], *names[8:-1]]]
+    for i, columns in enumerate(orders):
+        rows = raw.where(part == i).select(*[F.col(f"`{c}`") for c in columns]).coalesce(1)
+        rows = rows if i < 2 else rows.withColumn("extra", F.lit("e, e"))
+        rows.write.mode("append").option("header", True).csv(folder)
+    return folder
+
+
 @query("clean_movements", q.with_(_CLEAN_SQL) + "select * from v_clean")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return movements.clean_movements(raw_movements(spark, sf)).select(*_CLEAN_COLUMNS)
+    return movements.clean_movements(raw_movements(spark, sf))
+
+
+_BAD_CELLS = {"VrgGrp": 1, "BucDat": 7, "MngW": 3}
 
 
 @query(
     "bad_movement_cells",
-    """select sum(case when l_linenumber = 1 then 1 else 0 end)::bigint "VrgGrp",
-sum(case when l_linenumber = 7 then 1 else 0 end)::bigint "BucDat",
-sum(case when l_linenumber = 3 then 1 else 0 end)::bigint "MngW", 0::bigint "MngD" from lineitem""",
+    "select "
+    + ", ".join(
+        f'count(*) filter (where l_linenumber = {_BAD_CELLS.get(c, -1)})::bigint "{c}"'
+        for c in schemas.MOVEMENT_FEED_COLUMNS
+        if c in (*schemas.MOVEMENT_FEED_INTS, *schemas.MOVEMENT_FEED_DATES, *schemas.MOVEMENT_FEED_FLOATS)
+    )
+    + " from lineitem",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return movements.bad_cells(raw_movements(spark, sf)).select("VrgGrp", "BucDat", "MngW", "MngD")
+    return movements.bad_cells(raw_movements(spark, sf))
 
 
 @query("loaded_movement_files", q.with_(_CLEAN_SQL) + "select * from v_clean")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """A folder of files cleaned and appended; loading it again adds nothing."""
+    """Files with different headers, cleaned and appended; loading them again adds nothing."""
     folder = scratch_path(spark, "movements")
-    raw_movements(spark, sf).write.option("header", True).csv(f"{folder}/landed")
+    write_movement_files(raw_movements(spark, sf), f"{folder}/landed")
     for _ in range(2):
         feed_loads.load_movements(spark, f"{folder}/landed", f"{folder}/table")
-    return spark.read.parquet(f"{folder}/table").select(*_CLEAN_COLUMNS)
+    return spark.read.parquet(f"{folder}/table").select(*schemas.MOVEMENT_FEED_COLUMNS)
 
 
 # --- telemetry feed --------------------------------------------------------------------------------
@@ -293,6 +317,7 @@ _TELEMETRY_ROWS = (
     + ", ".join(f"cast({c} as double) {c}" for c in ("feed", "coal", "dust_set", "dust_out", "slag"))
     + " from v_telemetry"
 )
+# Humidity has no source in the test tables and is null throughout.
 _TELEMETRY_COLUMNS = ("ts", "run_flag", "feed", "coal", "dust_set", "dust_out", "slag")
 
 
@@ -312,6 +337,17 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/table").select(*_TELEMETRY_COLUMNS)
 
 
+@query("telemetry_batch_and_stream", q.with_(q.TELEMETRY) + _TELEMETRY_ROWS)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """One table: some files by batch, all by stream, and once more by a stream that lost its checkpoint."""
+    base = scratch_path(spark, "telemetry-both")
+    folder = write_telemetry_files(spark, sf, f"{base}/landed")
+    feed_loads.load_telemetry(spark, folder, f"{base}/table", f"{base}/ledger", glob="part-0000[0-3]*.csv")
+    for run in ("first", "lost"):
+        ingest.ingest_telemetry(spark, folder, f"{base}/table", f"{base}/checkpoint-{run}").awaitTermination()
+    return spark.read.parquet(f"{base}/table").select(*_TELEMETRY_COLUMNS)
+
+
 @query(
     "pending_files",
     q.with_(q.TELEMETRY)
@@ -350,7 +386,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "cleaned_cells",
     """select l_orderkey, l_linenumber, case when l_linenumber = 2 then -1 else l_linenumber end as whole,
-case l_linenumber when 2 then 0.0 when 3 then 0.0 else cast(cast(l_extendedprice as decimal(20,2)) as double) end as number,
+case l_linenumber when 2 then 0.0 when 3 then 0.0 when 5 then 1234567890.123457::double else cast(cast(l_extendedprice as decimal(20,2)) as double) end as number,
 case when l_linenumber = 4 then 0.0 else cast(cast(l_tax as decimal(20,2)) as double) end as hours,
 case when l_returnflag = 'N' then ' ' else l_returnflag end txt from lineitem""",
 )
@@ -360,7 +396,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         F.when(line == 2, "?").otherwise(F.concat(F.lit(" "), line.cast("string"), F.lit(".7"))).alias("w"),
-        F.when(line == 2, F.lit(None)).when(line == 3, "abc").otherwise(_comma(F.col("l_extendedprice"), 2)).alias("n"),
+        F.when(line == 2, F.lit(None)).when(line == 3, "abc").when(line == 5, "1234567890,1234567").otherwise(
+            _comma(F.col("l_extendedprice"), 2)
+        ).alias("n"),
         F.when(line == 4, "NaN").otherwise(F.col("l_tax").cast("decimal(20,2)").cast("string")).alias("h"),
         F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("t"),
     )

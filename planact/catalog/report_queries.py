@@ -92,7 +92,7 @@ _REPORT = q.with_(
     _REPORT + "select strftime(day, '%Y-%m-%d') as day, forecast, budget, " + ", ".join(_SEEN) + " from v_report",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_report.daily_report(sv.inputs(spark, sf), START, END, VERSION)
+    return daily_report.daily_report(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION)
 
 
 def _text(c: str, digits: int = 0) -> str:
@@ -121,7 +121,7 @@ _MOVED = "has_telemetry = 1 and actual > 0"
 {_percent('pb_in_slag', 'has_telemetry = 1')} "{_T['pb_in_slag']}" from v_report""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_report.render(daily_report.daily_numbers(sv.inputs(spark, sf), START, END, VERSION))
+    return daily_report.render(daily_report.daily_numbers(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION))
 
 
 @query(
@@ -161,7 +161,7 @@ cast(case when b is null then 0 else coalesce(t, 0) end as double) total_actual
 from v_label left join v_p using (label) left join v_a using (label)""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return category_sums.category_sums(sv.inputs(spark, sf), START, END, VERSION)
+    return category_sums.category_sums(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION)
 
 
 @query(
@@ -202,14 +202,14 @@ left join v_raw r on r.day = d.day and r.material_id = m.material_id"""
 
 @query("material_report", _MATERIAL_REPORT)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return material_report.material_report(sv.inputs(spark, sf), START, END, VERSION)
+    return material_report.material_report(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION)
 
 
 @query("combined_report_written", _MATERIAL_REPORT)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """All parts written to a report folder; the per-material part is read back."""
     folder = scratch_path(spark, "reports")
-    written = combined.write_combined_report(sv.inputs(spark, sf), START, END, VERSION, folder)
+    written = combined.write_combined_report(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION, folder)
     return spark.read.parquet(written["report_per_material"])
 
 
@@ -249,7 +249,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """The daily report with every day of the interval shown, the actual side of it."""
-    numbers = daily_report.daily_numbers(sv.inputs(spark, sf), START, END, VERSION, complete_days=True)
+    numbers = daily_report.daily_numbers(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION, complete_days=True)
     return numbers.select("day", "actual", *daily_report.SHARES, "fluxes")
 
 

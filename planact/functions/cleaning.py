@@ -45,9 +45,10 @@ def float_or_default(c: Column) -> Column:
     """Decimal comma to point, cast, bound to the double range, six digits."""
     number = F.replace(F.trim(c), F.lit(","), F.lit(".")).try_cast("double")
     scale = F.lit(10.0**FLOAT_DIGITS)
-    # Beyond 1e9 a double has no sixth digit to round; NaN fails every comparison but the last.
+    # From 2**53 / 10**6 on, about 9e9, neighbouring doubles are more than a millionth apart: there is
+    # no sixth digit left to round. NaN fails every comparison but the last.
     cleaned = (
-        F.when(F.abs(number) < 1e9, F.rint(number * scale) / scale)
+        F.when(F.abs(number) < 2.0**53 / 10.0**FLOAT_DIGITS, F.rint(number * scale) / scale)
         .when(F.isnan(number), F.lit(FLOAT_DEFAULT))
         .when(number > FLOAT_LIMIT, F.lit(FLOAT_LIMIT))
         .when(number < -FLOAT_LIMIT, F.lit(-FLOAT_LIMIT))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 # --- fixed values: text formats found in the inputs -------------------------------
 DAY_FORMAT = "dd.MM.yyyy"
 HEADER_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%d.%m.%Y", "%d/%m/%Y", "%b.%y")
-DEFAULT_YEARS = (2023, 2024, 2025, 2026, 2027, 2028)
 PRODUCTION_DAY_START_HOUR = 6
 # ----------------------------------------------------------------------------------
 
@@ -60,8 +59,9 @@ def month_from_label(label: Column) -> Column:
     return F.to_date(F.try_to_timestamp(text, F.lit("dd MMM yyyy")))
 
 
-def in_years(day: Column, years: tuple[int, ...] | list[int]) -> Column:
-    return F.year(day).isin(*years)
+def in_years(day: Column, years: tuple[int, ...] | list[int] | None) -> Column:
+    """Whether the day's year is wanted; without a list every year is."""
+    return F.lit(True) if years is None else F.year(day).isin(*years)
 
 
 def date_from_parts(year: Column, month: Column, day: Column) -> Column:

@@ -54,6 +54,11 @@ def unpivot_months(wide: DataFrame, ids: Sequence[str], zero_for_null: bool = Tr
     return wide.select(*ids, F.inline(F.array(*cells)))
 
 
+def months_of(plan: DataFrame) -> list[dt.date]:
+    """The months of a plan in order; DATE holds at most 120,000 of them."""
+    return [r[0] for r in plan.where(F.col("month").isNotNull()).select("month").distinct().orderBy("month").collect()]
+
+
 def month_columns(months: Sequence[dt.date], measures: Sequence[str] = (BUDGET, FORECAST)) -> list[str]:
     return [f"{MEASURE_PREFIX[m]}{d.strftime('%b_%y').lower()}" for m in measures for d in months]
 
@@ -61,10 +66,15 @@ def month_columns(months: Sequence[dt.date], measures: Sequence[str] = (BUDGET,
 def pivot_months(
     plan: DataFrame,
     ids: Sequence[str],
-    months: Sequence[dt.date],
+    months: Sequence[dt.date] | None = None,
     measures: Sequence[str] = (BUDGET, FORECAST),
 ) -> DataFrame:
-    """Back to one column per measure and month; the columns are named by the caller's months."""
+    """Back to one column per measure and month.
+
+    Without ``months`` the columns are those of the months in the plan, found by one aggregation: a
+    frame's columns must be known before it is built. ``months`` chooses some of them.
+    """
+    months = months_of(plan) if months is None else months
     prefix = F.when(F.col("measure") == BUDGET, MEASURE_PREFIX[BUDGET]).otherwise(MEASURE_PREFIX[FORECAST])
     labelled = plan.withColumn("column", F.concat(prefix, dates.month_label(F.col("month"))))
     return labelled.groupBy(*ids).pivot("column", month_columns(months, measures)).agg(

@@ -15,7 +15,7 @@ from planact.functions import materials as mat
 from planact.functions import rounding as r
 from planact.operators import actuals, plan
 from planact.operators import calendar as cal
-from planact.sources.star_views import Inputs
+from planact.plans.inputs import Inputs
 
 
 @dataclass(frozen=True)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from planact.operators import actuals, plan
 from planact.operators import calendar as cal
 from planact.plans import category_sums, daily_report, material_report
-from planact.session import stage
+from planact.session import stage, staging
 from planact.sinks import reports
-from planact.sources.star_views import Inputs
+from planact.plans.inputs import Inputs
 
 
 @dataclass(frozen=True)
@@ -60,12 +60,15 @@ def parameters(spark: SparkSession, start: cal.DateLike, end: cal.DateLike, vers
 def write_combined_report(
     inputs: Inputs, start: cal.DateLike, end: cal.DateLike, version: str, folder: str
 ) -> dict[str, str]:
-    """Write the parts below ``folder/Report_<start>_<end>``; empty parts are skipped."""
-    report = combined_report(inputs, start, end, version)
-    return reports.write_report(
-        folder,
-        start,
-        end,
-        report.params,
-        {"report": report.daily, "category_sums": report.sums, "report_per_material": report.by_material},
-    )
+    """Write the parts below ``folder/Report_<start>_<end>``; empty parts are skipped, an unknown version raises."""
+    if plan.in_version(inputs.plan, version).isEmpty():
+        raise ValueError(f"the plan has no version {version}")
+    with staging(inputs.plan.sparkSession):
+        report = combined_report(inputs, start, end, version)
+        return reports.write_report(
+            folder,
+            start,
+            end,
+            report.params,
+            {"report": report.daily, "category_sums": report.sums, "report_per_material": report.by_material},
+        )

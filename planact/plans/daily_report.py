@@ -9,7 +9,7 @@ from planact.functions import display
 from planact.functions import rounding as r
 from planact.operators import actuals, plan, telemetry
 from planact.operators import calendar as cal
-from planact.sources.star_views import Inputs
+from planact.plans.inputs import Inputs
 
 SHARES = tuple(f"{name}_pct" for name in actuals.DAILY_SHARES)
 

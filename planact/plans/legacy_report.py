@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from planact.functions import display
 from planact.operators import actuals
 from planact.operators import calendar as cal
-from planact.sources.star_views import Inputs
+from planact.plans.inputs import Inputs
 
 KEY = "monthday"
 

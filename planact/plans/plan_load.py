@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planact import schemas
-from planact.functions import dates
 from planact.operators import calendar as cal
 from planact.operators import change, quality
 from planact.operators.plan import BUDGET
@@ -60,10 +59,12 @@ def load_workbook(
     spark: SparkSession,
     sheets: dict[str, str],
     store: PlanStore,
-    years: Sequence[int] = dates.DEFAULT_YEARS,
+    years: Sequence[int] | None = None,
 ) -> change.Decision:
     """Load one landed workbook into the store if the decision says so.
 
+    Without ``years`` every month column is loaded; ``grids.months_left_out`` tells what a list keeps out.
+
     ``sheets`` names the folders of the four sheets: budget, forecast, budget_shutdown,
     forecast_shutdown. Everything is checked before the first write.
     """

@@ -64,7 +64,6 @@ def scratch_root(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise ValueError(f"spark.checkpoint.dir must name a folder shared by the cluster (master {master})")
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/planact-scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from planact.operators import calendar as cal
+from planact.session import remove
 
 
 def report_path(folder: str, start: cal.DateLike, end: cal.DateLike) -> str:
@@ -29,6 +30,8 @@ def write_report(
         part.write.mode("overwrite").format(fmt).options(**options).save(path)
         back = spark.read.format(fmt).options(**options).schema(part.schema).load(path)
         if back.isEmpty():
+            for left in (path, f"{base}/{name}_params"):
+                remove(spark, left)
             continue
         params.write.mode("overwrite").format(fmt).options(**options).save(f"{base}/{name}_params")
         written[name] = path

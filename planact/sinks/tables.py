@@ -1,8 +1,8 @@
 """Parquet tables: append, insert-if-absent, upsert.
 
 Facts are partitioned by month, so that a report reads one partition and an upsert rewrites
-only the months it touches. An upsert never reads the folder it is writing: the merged rows
-are first written to the shared folder, then swapped in from there.
+only the months it touches. An upsert never reads the folder it is writing: the merged rows are
+written elsewhere first, then put in place.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from planact import schemas
 from planact.operators import calendar as cal
 from planact.operators import dedupe, upsert
-from planact.session import stage
+from planact.session import stage, staging
 from planact.sources.tables import exists, read_or_empty
 
 MONTH = schemas.PART_MONTH
@@ -41,7 +41,7 @@ def append_telemetry(df: DataFrame, path: str) -> None:
 
 
 def append_movements(spark: SparkSession, cleaned: DataFrame, path: str) -> None:
-    """Append movements not stored yet."""
+    """Append movements not stored yet; ``cleaned`` is read twice and should be a staged table."""
     if exists(spark, path):
         stored = spark.read.parquet(path).select(F.col("BpzIdt").alias("doc_id"), F.col("BucDat").alias("day"), MONTH)
         keyed = cleaned.withColumn("doc_id", F.col("BpzIdt")).withColumn("day", F.col("BucDat"))
@@ -77,10 +77,40 @@ def append_missing_members(spark: SparkSession, path: str, members: DataFrame) -
 def upsert_table(
     spark: SparkSession, path: str, schema: T.StructType, source: DataFrame, keys: Sequence[str]
 ) -> None:
-    """Upsert a whole table; ``source`` must be unique by key."""
-    target = read_or_empty(spark, path, schema)
-    merged = stage(upsert.upsert(target, source, keys), "upsert")
-    merged.write.mode("overwrite").parquet(path)
+    """Upsert a whole table; ``source`` must be unique by key.
+
+    The merged rows are written beside the table and take its place by renaming. A table whose
+    replacement was interrupted is put right by the next call, before anything is read.
+    """
+    recover(spark, path)
+    merged = upsert.upsert(read_or_empty(spark, path, schema), source, keys)
+    replace_table(spark, merged, path)
+
+
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, lambda suffix: jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + suffix)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write ``df``, which may read the table, and put it in the table's place."""
+    df.write.mode("overwrite").parquet(path.rstrip("/") + ".new")
+    fs, named = _files(spark, path)
+    if fs.exists(named("")):
+        fs.rename(named(""), named(".old"))
+    fs.rename(named(".new"), named(""))
+    fs.delete(named(".old"), True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo an interrupted replacement: the table itself wins, then the complete old one."""
+    fs, named = _files(spark, path)
+    if not fs.exists(named("")) and fs.exists(named(".old")):
+        fs.rename(named(".old"), named(""))
+    for suffix in (".old", ".new"):
+        if fs.exists(named(suffix)):
+            fs.delete(named(suffix), True)
 
 
 def upsert_partitions(
@@ -88,17 +118,20 @@ def upsert_partitions(
 ) -> None:
     """Upsert into a table partitioned by ``partition``, which must follow from the key.
 
-    Only partitions the source touches are read and replaced; the others stay as they are.
+    Only partitions the source touches are read and replaced; the others stay as they are. The source
+    is written first: it may be a stateful micro-batch, and is evaluated once.
     """
-    if not exists(spark, path):
-        source.select(*schema.fieldNames()).write.partitionBy(partition).parquet(path)
-        return
-    touched = dedupe.touched_partitions(source, F.col(partition), partition)
-    target = spark.read.schema(schema).parquet(path).join(touched, partition, "left_semi")
-    merged = stage(upsert.upsert(target.select(*schema.fieldNames()), source, keys), "upsert")
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    with staging(spark):
+        source = stage(source.select(*schema.fieldNames()), "upsert-source")
+        if not exists(spark, path):
+            source.write.partitionBy(partition).parquet(path)
+            return
+        touched = dedupe.touched_partitions(source, F.col(partition), partition)
+        target = spark.read.schema(schema).parquet(path).join(touched, partition, "left_semi")
+        merged = stage(upsert.upsert(target.select(*schema.fieldNames()), source, keys), "upsert")
+        (
+            merged.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )

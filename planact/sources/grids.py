@@ -59,14 +59,19 @@ def version_of(forecast_grid: DataFrame) -> DataFrame:
     return forecast_grid.agg(F.min_by("material_name", ROW_ORDER).alias("version"))
 
 
-def month_headers(columns: Sequence[str], years: Sequence[int] = dates.DEFAULT_YEARS) -> dict[str, dt.date]:
-    """Headers that name a month of the wanted years, with that month."""
+def month_headers(columns: Sequence[str], years: Sequence[int] | None = None) -> dict[str, dt.date]:
+    """Headers that name a month, with that month; of the wanted years, if the caller names some."""
     found = {c: dates.header_month(c) for c in columns}
-    return {c: m for c, m in found.items() if m is not None and m.year in years}
+    return {c: m for c, m in found.items() if m is not None and (years is None or m.year in years)}
+
+
+def months_left_out(columns: Sequence[str], years: Sequence[int] | None) -> list[str]:
+    """Headers that name a month of another year: what a list of years keeps out of a load."""
+    return [c for c in month_headers(columns) if c not in month_headers(columns, years)]
 
 
 def plan_rows(
-    grid: DataFrame, measure: str, version: Column, years: Sequence[int] = dates.DEFAULT_YEARS
+    grid: DataFrame, measure: str, version: Column, years: Sequence[int] | None = None
 ) -> DataFrame:
     """A plan sheet as rows (version, material_id, month, measure, value); bad ids dropped.
 
@@ -98,7 +103,7 @@ def read_shutdown_grid(
     path: str,
     measure: str,
     version: Column,
-    years: Sequence[int] = dates.DEFAULT_YEARS,
+    years: Sequence[int] | None = None,
 ) -> DataFrame:
     """A shutdown sheet: date and hours by position; rows without a date (the headers too) drop out."""
     width = max(SHUTDOWN_DATE_POSITION, SHUTDOWN_HOURS_POSITION) + 1
@@ -113,7 +118,7 @@ def read_shutdown_grid(
             cleaning.hours_or_zero(F.col(f"c{SHUTDOWN_HOURS_POSITION}")).alias("hours"),
         )
         .where(F.col("day").isNotNull())
-        .where(dates.in_years(F.col("day"), list(years)))
+        .where(dates.in_years(F.col("day"), None if years is None else list(years)))
     )
 
 
@@ -135,7 +140,7 @@ def read_workbook(
     forecast: str,
     budget_shutdown: str,
     forecast_shutdown: str,
-    years: Sequence[int] = dates.DEFAULT_YEARS,
+    years: Sequence[int] | None = None,
 ) -> dict[str, DataFrame]:
     """All sheets of one plan workbook as ``materials``, ``plan`` and ``shutdown``."""
     budget_grid = read_plan_grid(spark, budget)

@@ -7,13 +7,15 @@ cast into a range on the stored timestamp.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from planact.operators import calendar as cal
 from planact.operators.plan import BUDGET, FORECAST
+from planact.plans.inputs import Inputs
 
 # --- fixed values: how the test tables are read as the domain ---------------------------------
 KG_PER_UNIT = 137
@@ -24,15 +26,8 @@ LOADED = {"V0": "2024-01-01 00:00:00", "V1": "2024-02-01 00:00:00", "V2": "2024-
 # ----------------------------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Inputs:
-    """The five tables every report reads."""
-
-    materials: DataFrame
-    movements: DataFrame
-    plan: DataFrame
-    shutdown: DataFrame
-    telemetry: DataFrame
+# First and last day of the months wanted, or None for all.
+Months = tuple[str, str] | None
 
 
 def _schema(**fields: T.DataType) -> T.StructType:
@@ -111,12 +106,25 @@ def _loaded(version):
     return chain
 
 
-def plan_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, months: Months = None, version: str | None = None) -> DataFrame:
+    """Orders of some months and one version; both conditions stand on stored columns and reach the scan."""
+    orders = table(spark, sf_dir, "orders")
+    if months is not None:
+        first, last = (cal.as_date(x) for x in months)
+        until = cal.end_of_month(last) + dt.timedelta(days=1)
+        at = [F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in (first.replace(day=1), until)]
+        orders = orders.where((F.col("o_orderdate") >= at[0]) & (F.col("o_orderdate") < at[1]))
+    if version is not None:
+        orders = orders.where(F.col("o_orderkey") % 3 == int(version.removeprefix("V")))
+    return orders
+
+
+def plan_wide(spark: SparkSession, sf_dir: str, months: Months = None, version: str | None = None) -> DataFrame:
     """Budget and forecast per version, material and month.
 
     Grouped on whole numbers and dates; the texts are made from the groups.
     """
-    orders = table(spark, sf_dir, "orders").select(
+    orders = _orders(spark, sf_dir, months, version).select(
         "o_orderkey", (F.col("o_orderkey") % 3).alias("rest"), F.to_date(F.trunc("o_orderdate", "MM")).alias("month")
     )
     cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
@@ -137,16 +145,16 @@ def plan_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def plan(spark: SparkSession, sf_dir: str, months: Months = None, version: str | None = None) -> DataFrame:
     """The plan as a long fact table, each version with the time it was loaded."""
-    wide = plan_wide(spark, sf_dir)
+    wide = plan_wide(spark, sf_dir, months, version)
     pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in (BUDGET, FORECAST)])
     return wide.select("version", "material_id", "month", F.inline(pairs)).withColumn(
         "inserted_at", _loaded(F.col("version"))
     )
 
 
-def shutdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shutdown(spark: SparkSession, sf_dir: str, months: Months = None, version: str | None = None) -> DataFrame:
     """Shutdown hours per version and day, long."""
 
     def hours(status: str, name: str):
@@ -155,7 +163,7 @@ def shutdown(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias(name)
 
     wide = (
-        table(spark, sf_dir, "orders")
+        _orders(spark, sf_dir, months, version)
         .groupBy((F.col("o_orderkey") % 3).alias("rest"), F.to_date("o_orderdate").alias("day"))
         .agg(hours("F", BUDGET), hours("P", FORECAST))
         .withColumn("version", _version("rest"))
@@ -185,11 +193,12 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+def inputs(spark: SparkSession, sf_dir: str, months: Months = None, version: str | None = None) -> Inputs:
+    """All tables; the plan side of some months and one version only, as a report asks for."""
     return Inputs(
         materials(spark, sf_dir),
         movements(spark, sf_dir),
-        plan(spark, sf_dir),
-        shutdown(spark, sf_dir),
+        plan(spark, sf_dir, months, version),
+        shutdown(spark, sf_dir, months, version),
         telemetry(spark, sf_dir),
     )

@@ -33,7 +33,13 @@ def parse(raw: DataFrame) -> DataFrame:
     return raw.select(ts.alias("ts"), *sensors, *extra).where(F.col("ts").isNotNull())
 
 
-def read_telemetry_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """(path, source_file) of all matching files; their content is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("source_file"))
+
+
+def read_telemetry_files(spark: SparkSession, folder: str | list[str], glob: str = "*.csv") -> DataFrame:
     """Text rows of all matching files, with the file each came from."""
     raw = spark.read.schema(RAW).option("mode", "PERMISSIVE").option("pathGlobFilter", glob).csv(folder)
     return raw.select("*", F.col("_metadata.file_name").alias("source_file"))

@@ -5,7 +5,7 @@ import pytest
 
 from planact import schemas
 from planact.session import build_session
-from planact.sources.star_views import Inputs
+from planact.plans.inputs import Inputs
 
 
 @pytest.fixture(scope="session")

@@ -23,6 +23,7 @@ FORECAST = """name,id,dummy,cat,Jan.25,01.02.2025
 Alpha,1110203,x,H,11,12
 Beta,1210203,x,P,21,31
 """
+YEARS = range(2023, 2029)
 HELP = """Plan,,,,
 date,a,b,c,shutdown h
 10.01.2025,x,x,x,24
@@ -42,7 +43,7 @@ def sheets(folder, version="V1", budget=BUDGET, down=HELP):
 
 
 def test_sheet_scan(spark, tmp_path):
-    book = grids.read_workbook(spark, **sheets(tmp_path))
+    book = grids.read_workbook(spark, **sheets(tmp_path), years=YEARS)
     assert rows(book["materials"]) == [
         ("1110203", "Alpha", "Cons", "H"), ("1210203", "Beta", "Paste", "P"), ("1210203-b", "Beta two", "Paste", "P")
     ]
@@ -57,7 +58,7 @@ def test_sheet_scan(spark, tmp_path):
 
 def test_workbook_load(spark, tmp_path):
     store = plan_load.PlanStore(str(tmp_path / "store"))
-    first = plan_load.load_workbook(spark, sheets(tmp_path), store)
+    first = plan_load.load_workbook(spark, sheets(tmp_path), store, YEARS)
     assert first.flags.first()["store_empty"] and first.should_load()
     facts = spark.read.schema(schemas.PLAN_FACT).parquet(store.plan)
     assert facts.count() == 10
@@ -65,11 +66,11 @@ def test_workbook_load(spark, tmp_path):
         ("budget", 0.0), ("forecast", 12.0)
     ]
     # The same version again is refused, also with changed numbers.
-    again = plan_load.load_workbook(spark, sheets(tmp_path, budget=BUDGET.replace("10.5", "11.5")), store)
+    again = plan_load.load_workbook(spark, sheets(tmp_path, budget=BUDGET.replace("10.5", "11.5")), store, YEARS)
     assert again.flags.first()["version_in_use"] and not again.should_load()
     assert spark.read.parquet(store.plan).count() == 10
     # A new version with one changed cell is loaded next to the old one.
-    third = plan_load.load_workbook(spark, sheets(tmp_path, "V2", budget=BUDGET.replace("10.5", "11.5")), store)
+    third = plan_load.load_workbook(spark, sheets(tmp_path, "V2", budget=BUDGET.replace("10.5", "11.5")), store, YEARS)
     flags = third.flags.first().asDict()
     assert flags["should_load"] and flags["changed_budget_cells"] == 1 and flags["new_materials"] == 0
     assert flags["changed_versions"] == 5 and flags["changed_forecast_cells"] == 0 and flags["changed_shutdown_days"] == 0
@@ -198,3 +199,60 @@ def test_empty_columns(spark):
     assert quality.drop_empty_columns(df).columns == ["a"]
     assert read_or_empty(spark, "/tmp/planact-nothing-here", schemas.MATERIAL).isEmpty()
     assert rows(df.select(F.lit(1).alias("x"))) == [(1,), (1,)]
+
+
+def test_years_are_all_kept_unless_named(spark, tmp_path):
+    book = grids.read_workbook(spark, **sheets(tmp_path))
+    assert ("V1", "1110203", day("2019-01-01"), "budget", 7.0) in rows(book["budget"])
+    assert ("V1", day("2031-01-10"), "budget", 24.0) in rows(book["budget_shutdown"])
+    columns = ["x", "2025-01-01 00:00:00", "2019-01-01 00:00:00"]
+    assert grids.months_left_out(columns, YEARS) == [columns[2]] and grids.months_left_out(columns, None) == []
+
+
+FILES = {
+    "a.csv": "BpzIdt,MatIdt,MatArt,LPlzIdt,BucDat,MngD\nd1,M1,ROH,55,2025-01-05,\"-1,5\"\n",
+    "b.csv": "'MngD ',MatIdt,BpzIdt,'LPlzIdt',BucDat,extra,MatArt\n-2,M2,d2,53,2025-01-06,\"x, y\",ROH\n",
+    "c.csv": "MatIdt,BpzIdt,BucDat,MngD\nM3,d3,2025-03-07,bad\n",
+}
+EXPECTED = [
+    ("d1", "M1", day("2025-01-05"), "ROH", 55, -1.5), ("d2", "M2", day("2025-01-06"), "ROH", 53, -2.0),
+    ("d3", "M3", day("2025-03-07"), " ", -1, 0.0),
+]
+CORE = ["BpzIdt", "MatIdt", "BucDat", "MatArt", "LPlzIdt", "MngD"]
+
+
+def test_every_movement_file_is_read_by_its_own_header(spark, tmp_path):
+    landed, table = tmp_path / "landed", str(tmp_path / "table")
+    landed.mkdir()
+    for name, text in FILES.items():
+        (landed / name).write_text(text)
+    assert feed_loads.load_movements(spark, str(landed), table) == {"MngD": 1}
+    assert rows(spark.read.parquet(table), *CORE) == EXPECTED
+    (landed / "d.csv").write_text("1,2,3\n")
+    with pytest.raises(Exception, match="no header in movement file"):
+        feed_loads.load_movements(spark, str(landed), table)
+
+
+def test_only_new_telemetry_files_are_read(spark, tmp_path):
+    landed, args = tmp_path / "landed", (str(tmp_path / "table"), str(tmp_path / "ledger"))
+    landed.mkdir()
+    (landed / "day1.csv").write_text(TELEMETRY.format(rows="2025-01-05 06:00:00,1,1,1,1,1,1,1\n"))
+    assert feed_loads.load_telemetry(spark, str(landed), *args) == 1
+    # The loaded file becomes unreadable as text of a feed; nobody looks into it again.
+    (landed / "day1.csv").write_text("changed")
+    (landed / "day2.csv").write_text(TELEMETRY.format(rows="2025-01-06 06:00:00,1,2,1,1,1,1,1\n"))
+    assert feed_loads.load_telemetry(spark, str(landed), *args) == 1
+    assert feed_loads.load_telemetry(spark, str(landed), *args) == 0
+    assert rows(spark.read.parquet(args[0]), "feed") == [(1.0,), (2.0,)]
+
+
+def test_interrupted_replacement(spark, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k STRING, v INT"
+    one = spark.createDataFrame([("a", 1)], ddl)
+    sink.upsert_table(spark, path, one.schema, one, ["k"])
+    # Died after the old table was moved away and before the new one took its place.
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    spark.createDataFrame([("x", 0)], ddl).write.parquet(path + ".new")
+    sink.upsert_table(spark, path, one.schema, spark.createDataFrame([("b", 2)], ddl), ["k"])
+    assert rows(spark.read.parquet(path)) == [("a", 1), ("b", 2)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]

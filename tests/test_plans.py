@@ -151,3 +151,11 @@ def test_hot_material_is_reduced_before_the_shuffle(spark, make):
     assert rows(mass, "raw_main_mg") == [(-40_000_000_000,)]
     text = plan_of(mass)
     assert text.index("partial_sum") > text.index("Exchange")
+
+
+def test_plan_side_reads_the_months_of_the_report(spark):
+    data = sv.inputs(spark, SF, MONTH, "V0")
+    for name, df in reports(data).items():
+        if name != "history":
+            scans = [line for line in plan_of(df).splitlines() if "orders.parquet" in line]
+            assert scans and all("GreaterThanOrEqual(o_orderdate,1998-01-01" in x and "LessThan(o_orderdate,1998-02-01" in x for x in scans), name

@@ -93,3 +93,27 @@ def test_stream_equals_batch(spark, tmp_path):
     ingest.upsert_stream(days, str(tmp_path / "t"), days.schema, ["day"], MONTH, str(tmp_path / "c")).awaitTermination()
     stored = spark.read.schema(days.schema).parquet(str(tmp_path / "t"))
     assert rows(stored, *ops.SUMMED, "day") == rows(batch, *ops.SUMMED, "day")
+
+
+def test_no_unseen_document_is_late(spark, tmp_path):
+    landed = tmp_path / "in"
+    landed.mkdir()
+    for i, posted in enumerate(("2025-03-01", "2025-03-02", "2025-01-05", "2025-03-01")):
+        (landed / f"{i}.csv").write_text(movement_lines((f"d{i % 3}", posted)))
+    kept = ingest.distinct_movements(ingest.stream_movement_files(spark, str(landed), files_per_batch=1))
+    ingest.append_stream(kept, "BucDat", str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "t")), "BpzIdt", "BucDat") == [
+        ("d0", day("2025-03-01")), ("d1", day("2025-03-02")), ("d2", day("2025-01-05"))
+    ]
+
+
+def test_batch_and_stream_share_one_table(spark, tmp_path):
+    from planact.plans import feed_loads
+
+    landed, table = tmp_path / "in", str(tmp_path / "t")
+    drop(landed, "a.csv", ("2025-01-05 06:00:00", 10))
+    feed_loads.load_telemetry(spark, str(landed), table, str(tmp_path / "ledger"))
+    drop(landed, "b.csv", ("2025-01-06 06:00:00", 11))
+    for checkpoint in ("c", "c", "lost"):
+        ingest.ingest_telemetry(spark, str(landed), table, str(tmp_path / checkpoint)).awaitTermination()
+    assert rows(spark.read.parquet(table), "feed") == [(10.0,), (11.0,)]
