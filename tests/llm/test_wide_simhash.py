@@ -1,0 +1,112 @@
+"""Wide fingerprints: against plain forms, against all pairs, and on odd rows."""
+
+import numpy as np
+import pytest
+from conftest import rows
+from test_edges import DOCUMENTS, benchmark, documents  # noqa: F401
+
+from planact.llm import components, simhash
+from planact.llm import simhash_wide as wide
+
+SF = "/root/testdata/sf0.01"
+
+
+def packed(texts):
+    data = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.concatenate(([0], np.cumsum([len(d) for d in data]))).astype(np.int64)
+
+
+def shingles(text, size=5):
+    found = text.lower().split()
+    return {tuple(found[i : i + size]) for i in range(max(1, len(found) - size + 1))} if found else set()
+
+
+def components_of(links, nodes):
+    top = {n: n for n in nodes}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        top[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def test_prints_depend_on_the_text_alone():
+    texts = ["", "one", "one two", "a b c d e f g", " ".join(f"w{i % 700}" for i in range(90_000)), " \n", "A  b c\nD e f g"]
+    together = wide.wide_prints(*packed(texts))
+    for text, found in zip(texts, together):
+        assert (wide.wide_prints(*packed([text]))[0] == found).all()
+    assert not together[0].any() and not together[5].any()
+    assert (together[3] == together[6]).all()
+    assert len({p.tobytes() for p in together}) == 5
+
+
+def test_blocks_meet_once_at_most():
+    assert len(wide.BLOCKS) == 40 and all(len(set(b)) == 4 for b in wide.BLOCKS)
+    assert max(len(set(a) & set(b)) for a in wide.BLOCKS for b in wide.BLOCKS if a is not b) == 1
+
+
+@pytest.mark.parametrize("block", [wide.BLOCK, 16])
+def test_links_join_what_all_pairs_join(spark, block):
+    """A large group of near prints and some strangers; the components are those of all pairs that meet."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, 8 * wide.LANES, dtype=np.uint8)
+    prints = []
+    for n in range(300):
+        bits = np.unpackbits(base)
+        bits[rng.choice(len(bits), 40 + n % 20, False)] ^= 1
+        prints.append(np.packbits(bits).tobytes())
+    prints = sorted({*prints, *(rng.bytes(8 * wide.LANES) for _ in range(40))})
+    raw = np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1)
+    links = []
+    for i in range(len(prints)):
+        for j in range(i):
+            same = raw[i] == raw[j]
+            if np.bitwise_count(raw[i, 32:] ^ raw[j, 32:]).sum() <= wide.NEAR_BITS and any(same[b].all() for b in wide.BLOCKS):
+                links.append((prints[i], prints[j]))
+    expected = components_of(links, prints)
+    nodes = spark.createDataFrame([(bytearray(p),) for p in prints], "fp binary")
+    found = wide.near_links(nodes, block=block)
+    got = {bytes(r.node): bytes(r.component) for r in components.components(found).collect()}
+    assert {p: got.get(p, p) for p in prints} == expected
+    assert len(set(expected.values())) < 100
+
+
+def test_near_copies_of_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    group = {r.doc_id: bytes(r.group_fp) for r in wide.near_copies(docs).collect()}
+    assert group.keys() == texts.keys()
+    sets = {d: shingles(t) for d, t in texts.items()}
+    ids = sorted(texts)
+    near = met = 0
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            if min(len(sets[a]), len(sets[b])) >= 0.5 * max(len(sets[a]), len(sets[b])) and (sets[a] or not sets[b]):
+                share = len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b])) if sets[a] else 1.0
+                if share == 1.0:
+                    assert group[a] == group[b]
+                elif share >= 0.8:
+                    near, met = near + 1, met + (group[a] == group[b])
+    assert near and met >= 0.8 * near
+    # Documents in one group are near copies of at least one other member.
+    members = {}
+    for d in ids:
+        members.setdefault(group[d], []).append(d)
+    for some in members.values():
+        for a in some if len(some) > 1 else []:
+            assert max(len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b])) if sets[a] else 1.0 for b in some if b != a) > 0.6
+
+
+def test_odd_rows(documents):  # noqa: F811
+    found = wide.near_copies(documents)
+    assert found.count() == len(DOCUMENTS)
+    kept = simhash.first_of_each(documents, groups=found)
+    assert kept.columns == documents.columns
+    # As with the narrow prints, but a text of signs alone has words here too; empty ones form one group.
+    assert rows(kept.select("doc_id")) == rows(documents.where("doc_id in (1, 2, 3, 5, 6, 7, 8)").select("doc_id").distinct())
+    assert simhash.first_of_each(documents.limit(0), groups=wide.near_copies(documents.limit(0))).count() == 0
