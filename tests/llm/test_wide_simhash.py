@@ -110,3 +110,27 @@ def test_odd_rows(documents):  # noqa: F811
     # As with the narrow prints, but a text of signs alone has words here too; empty ones form one group.
     assert rows(kept.select("doc_id")) == rows(documents.where("doc_id in (1, 2, 3, 5, 6, 7, 8)").select("doc_id").distinct())
     assert simhash.first_of_each(documents.limit(0), groups=wide.near_copies(documents.limit(0))).count() == 0
+
+
+def edited(found, changes):
+    found = list(found)
+    for place, word in changes:
+        found[place] = word
+    return " ".join(found)
+
+
+def test_links_hold_four_fifths_of_the_shingles(spark):
+    """Pages on one template (0.70 to 0.79 in common) all stay; a refused link does not hide a good one."""
+    rng = np.random.default_rng(3)
+    template = [f"word{n}" for n in rng.integers(0, 9999, 400)]
+    pages = [edited(template, [(40 * i + 20, f"own{d}x{i}") for i in range(5)]) for d in range(6)]
+    far = [edited(template, [(33 * i + 20, f"far{d}x{i}") for i in range(9)]) for d in range(4)]
+    texts = pages + far + [edited(far[0].split(), [(7, "late")])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = {r.doc_id: bytes(r.group_fp) for r in wide.near_copies(docs).collect()}
+    sets = [shingles(t) for t in texts]
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a)]
+    share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in pairs}
+    assert any(0.6 < s < 0.8 for s in share.values()) and any(s >= 0.8 for s in share.values())
+    expected = components_of([p for p in pairs if share[p] >= 0.8], range(len(texts)))
+    assert all((group[a] == group[b]) == (expected[a] == expected[b]) for a, b in pairs)
