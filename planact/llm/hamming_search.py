@@ -5,7 +5,8 @@ quantisation on a bounded sample, ``SAMPLE`` vectors with the smallest hash of t
 split into ``SUBSTRINGS`` substrings, each indexed by its value. Codes within a Hamming radius r of a
 query agree with it in some substring up to floor(r / SUBSTRINGS) bits (pigeonhole), so probing every
 value that near in every substring retrieves all codes within r; their vectors are then ranked by
-inner product. The radius is learned too: it holds ``COVERAGE`` of the true neighbours of a sample.
+inner product. The radius is learned too: it holds ``COVERAGE`` of the true neighbours of a sample. Queries
+that find fewer than they ask for in it ask again with twice the radius, at last with all bits, which reaches every row.
 
 The index is dealt over shards of ``SHARD_ROWS`` rows, and every block of queries visits every shard;
 each keeps its nearest, and an aggregation keeps the nearest of all. A hot vector's copies are dealt
@@ -167,33 +168,23 @@ def nearest_neighbours(
     coded = vectors.mapInPandas(encode, "vec_id long, v array<double>, code binary")
     coded = stage(coded.withColumn("row", F.monotonically_increasing_id()), "codes")
     queries = coded.where(F.pmod("vec_id", F.lit(every)) == 0)
-    shards = max(1, -(-coded.count() // shard_rows))
-    blocks = max(1, -(-queries.count() // query_block))
+    rows_in = coded.count()
+    shards = max(1, -(-rows_in // shard_rows))
     dealt = F.xxhash64("row")
 
-    # Every pair of a shard and a block of queries is one task's share, of bounded size.
-    index = coded.select(
-        "vec_id", "v", "code", F.lit(False).alias("asks"), F.pmod(dealt, F.lit(shards)).cast("int").alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
-    asked = queries.select(
-        "vec_id", "v", "code", F.lit(True).alias("asks"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(dealt, F.lit(blocks)).cast("int").alias("block"),
-    )
-
-    def search(frame: pd.DataFrame) -> pd.DataFrame:
+    def search(frame: pd.DataFrame, radius: int) -> pd.DataFrame:
         asks = frame["asks"].to_numpy()
         mine, theirs = frame[~asks], frame[asks]
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": int, "vec_id": int})
+        empty = pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []})
+        empty = empty.astype({"row": int, "query_id": int, "vec_id": int})
         if not len(mine) or not len(theirs):
             return empty
         ids, points = mine["vec_id"].to_numpy(), _matrix(mine["v"])
         code_of = lambda f: np.frombuffer(b"".join(f["code"]), np.uint8).reshape(-1, SUBSTRINGS)
         shard = Shard(code_of(mine))
         out = []
-        for query, vector, code in zip(theirs["vec_id"], _matrix(theirs["v"]), code_of(theirs)):
-            near = shard.within(code, shared.value.radius)
+        for row, query, vector, code in zip(theirs["row"], theirs["vec_id"], _matrix(theirs["v"]), code_of(theirs)):
+            near = shard.within(code, radius)
             near = near[ids[near] != query]
             score = points[near] @ vector
             if len(near) > nearest:
@@ -201,12 +192,38 @@ def nearest_neighbours(
                 keep = score >= least  # with all that tie for the last place
                 near, score = near[keep], score[keep]
             order = np.lexsort((ids[near], -score))[:nearest]
-            out.append(pd.DataFrame({"query_id": query, "vec_id": ids[near][order], "score": score[order]}))
+            out.append(pd.DataFrame({"row": row, "query_id": query, "vec_id": ids[near][order], "score": score[order]}))
         return pd.concat(out) if out else empty
 
-    found = index.unionByName(asked).groupBy("shard", "block").applyInPandas(
-        search, "query_id long, vec_id long, score double"
-    )
+    def ask(left: DataFrame, radius: int) -> DataFrame:
+        """(row, query_id, vec_id, score): what the rows of ``left`` find within ``radius``, the nearest of each shard."""
+        blocks = max(1, -(-left.count() // query_block))
+        # Every pair of a shard and a block of queries is one task's share, of bounded size.
+        index = coded.select(
+            "row", "vec_id", "v", "code", F.lit(False).alias("asks"), F.pmod(dealt, F.lit(shards)).cast("int").alias("shard"),
+            F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        )
+        asked = left.select(
+            "row", "vec_id", "v", "code", F.lit(True).alias("asks"),
+            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
+            F.pmod(dealt, F.lit(blocks)).cast("int").alias("block"),
+        )
+        pairs = index.unionByName(asked).groupBy("shard", "block")
+        schema = "row long, query_id long, vec_id long, score double"
+        return stage(pairs.applyInPandas(lambda frame: search(frame, radius), schema), "hits")
+
+    enough, radius, left, found = min(nearest, rows_in - 1), codes.radius, queries, None
+    while True:
+        hits = ask(left, radius)
+        last = radius >= 8 * SUBSTRINGS
+        if not last:
+            full = stage(hits.groupBy("row").count().where(F.col("count") >= enough).select("row"), "full")
+            hits = hits.join(full, "row", "left_semi")
+            left = stage(left.join(full, "row", "left_anti"), "left")
+        found = hits if found is None else found.unionByName(hits)
+        if last or left.isEmpty():
+            break
+        radius = min(8 * SUBSTRINGS, max(2 * radius, SUBSTRINGS))
     # At most shards x nearest rows of a query meet; the struct orders by score, then by the smaller id.
     best = found.groupBy("query_id").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")).alias("all"))
     ranked = best.select("query_id", F.posexplode(F.slice(F.sort_array("all"), 1, nearest)).alias("at", "x"))

@@ -324,3 +324,15 @@ def test_stages(spark, documents, benchmark, tmp_path):
         assert out.count() > 0
     # Kept: one copy of the passage, its variant, the long text and the one with a secret.
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} >= {1, 2, 5, 6}
+
+
+def test_nearest_of_isolated_vectors(spark):
+    """Copies in clusters give a radius of about nothing; the isolated vectors get their neighbours all the same."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 64))
+    vectors = np.concatenate([np.repeat(centres, 60, 0) + 1e-7 * rng.normal(size=(720, 64)), rng.normal(size=(10, 64))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = hamming_search.nearest_neighbours(df, every=1, shard_rows=200, query_block=300).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == {i: 20 for i in range(len(vectors))}
+    few = hamming_search.nearest_neighbours(df.where("vec_id % 40 = 0"), every=1).groupBy("query_id").count().collect()
+    assert len(few) == 19 and {r["count"] for r in few} == {18}
