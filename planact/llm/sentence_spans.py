@@ -7,8 +7,10 @@ other one covers is removed.
 
 A sentence ends behind a word with a final stop, exclamation or question mark that no lower-case
 letter follows, at the end of a line, or at the end of the text. Sentences of more than
-``LONG_SENTENCE`` words are cut at words chosen by their hash, so that a passage is cut alike
-wherever it stands. Case (A-Z and Latin-1 letters) and white space do not count.
+``LONG_SENTENCE`` words are cut behind the smallest word hash of every ``LONG_SENTENCE`` words in a row
+(winnowing), so no piece is longer. A passage is cut alike wherever it stands, but for at most
+``LONG_SENTENCE`` words at either end that other text joins; between them its cuts agree. So a repeated passage of
+more than 50 words always has a run, as 21 words or more are left in between. Case (A-Z and Latin-1 letters) and white space do not count.
 
 Defined results: null and empty texts, and texts of fewer sentences or words, have no runs. Equal
 rows (same id and text) count as one document. Of documents that tie, the smaller doc_id is first,
@@ -27,10 +29,10 @@ from planact.llm.common import keyed_texts, utf8
 from planact.llm.wordhash import mix, powers, prefix, words
 from planact.session import stage
 
-MIN_SENTENCES = 3
+MIN_SENTENCES = 2
 MIN_WORDS = 20
-LONG_SENTENCE = 16
-CUT_EVERY = 8
+LONG_SENTENCE = 15
+_AT_ONCE = 1 << 16
 
 _RUNS = "doc_id long, key long, h1 long, h2 long, start int, end int"
 _SECOND_BASE = 0xD1342543DE82EF95
@@ -56,11 +58,20 @@ def _sentence_ends(data: np.ndarray, w, n_bytes: int) -> np.ndarray:
 
 
 def _long_cuts(w, ends: np.ndarray) -> np.ndarray:
+    """``ends``, and in long sentences behind the last smallest hash of every ``LONG_SENTENCE`` words in a row."""
     n = len(ends)
+    if n < LONG_SENTENCE:
+        return ends
     sentence = np.zeros(n, np.int64)
     sentence[1:] = np.cumsum(ends)[:-1]
-    size = np.bincount(sentence)[sentence]
-    return ends | ((size > LONG_SENTENCE) & (w.hash % np.uint64(CUT_EVERY) == 0))
+    long = np.bincount(sentence)[sentence] > LONG_SENTENCE
+    whole = np.flatnonzero(long[: n - LONG_SENTENCE + 1] & (sentence[: n - LONG_SENTENCE + 1] == sentence[LONG_SENTENCE - 1 :]))
+    windows = np.lib.stride_tricks.sliding_window_view(w.hash, LONG_SENTENCE)[:, ::-1]
+    cuts = ends.copy()
+    for at in range(0, len(whole), _AT_ONCE):
+        part = whole[at : at + _AT_ONCE]
+        cuts[part + LONG_SENTENCE - 1 - windows[part].argmin(1)] = True
+    return cuts
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray):

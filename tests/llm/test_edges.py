@@ -326,6 +326,23 @@ def test_stages(spark, documents, benchmark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} >= {1, 2, 5, 6}
 
 
+def test_spans_of_passages_over_fifty_words_anywhere(spark):
+    """A passage of 51 words or more, joined to other text at both ends, always loses its second place."""
+    rng = np.random.default_rng(9)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    docs = []
+    for number in range(300):
+        size, ends = 51 + number % 20, int(rng.integers(5, 40))
+        passage = word(size).split()
+        passage = " ".join(x + (". Then" if i % ends == ends - 1 and i < size - 1 else "") for i, x in enumerate(passage))
+        for side in (0, 1):
+            docs.append((2 * number + side, f"{word(int(rng.integers(1, 9)))} {passage} {word(int(rng.integers(1, 9)))}"))
+    four = ". ".join("T" + word(13)[1:] for _ in range(4))
+    docs += [(9000, f"ab cd {four} ef gh."), (9001, f"ij kl mn {four} op.")]
+    got = {r.doc_id for r in sentence_spans.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {*range(1, 600, 2), 9001}
+
+
 def test_nearest_of_isolated_vectors(spark):
     """Copies in clusters give a radius of about nothing; the isolated vectors get their neighbours all the same."""
     rng = np.random.default_rng(2)
