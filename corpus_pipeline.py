@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from planact.llm import decontamination, language_id, packing, secret_scan, simhash, simhash_wide
+from planact.llm import decontamination, language_id, packing, secret_scan, simhash
 from planact.session import configure, stage
 
 
@@ -18,8 +18,8 @@ def spoken(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, found by wide fingerprints."""
-    return simhash.first_of_each(docs, groups=simhash_wide.near_copies(docs))
+    """One document of each group whose fingerprints of three-word shingles link at three bits or fewer."""
+    return simhash.first_of_each(docs)
 
 
 def untested(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

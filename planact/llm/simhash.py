@@ -209,16 +209,12 @@ def near_duplicates(
     return rows.join(labels, "fp").select("doc_id", "key", "fp", "group_fp", "component_id")
 
 
-def first_of_each(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: DataFrame | None = None
-) -> DataFrame:
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are: the first of each component.
 
     First is the smallest doc_id (null last), then the smallest text key; of equal rows one stays.
-    ``groups`` (doc_id, key, group_fp) may come from elsewhere, as from ``simhash_wide.near_copies``.
     """
-    found = near_duplicates(docs, id_col, text_col) if groups is None else groups
-    found = stage(found.select("doc_id", "key", "group_fp"), "near-duplicates")
+    found = stage(near_duplicates(docs, id_col, text_col).select("doc_id", "key", "group_fp"), "near-duplicates")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key")
     first = found.groupBy("group_fp").agg(F.min(order).alias("first"))
     first = stage(first.select("group_fp", F.col("first.doc_id").alias("f_id"), F.col("first.key").alias("f_key")), "firsts")
