@@ -4,22 +4,29 @@ import pytest
 
 import __spark_entry__ as contract
 import check_oracle
+from planact.catalog import CATALOG
 
 SF = "/root/testdata/sf0.001"
 
+#: Queries that list what is wrong; the test tables may hold nothing of the kind.
+MAY_BE_EMPTY: set[str] = set()
+
 
 @pytest.fixture(scope="module")
 def con():
     return check_oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(CATALOG))
 def test_query(spark, con, name):
-    assert check_oracle.compare(spark, con, SF, name) in (None, "no rows")
+    problem = check_oracle.compare(spark, con, SF, name)
+    assert problem is None or (problem == "no rows" and name in MAY_BE_EMPTY)
 
 
 def test_every_query_has_a_counterpart():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert {name for name, item in CATALOG.items() if item.sql is None} == set()
+    assert set(CATALOG) <= set(contract.queries())
+    assert not set(contract.oracle_sql()) - set(contract.queries())
 
 
 def test_entry(spark):
