@@ -22,6 +22,8 @@ DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # A sum beyond the range of its type raises instead of wrapping.
     "spark.sql.ansi.enabled": "true",
+    # A recursive query climbs with every row of a table; its depth is what is bounded.
+    "spark.sql.cteRecursionRowLimit": "-1",
     # Rows handed to Python at once; texts may be long.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
