@@ -9,8 +9,8 @@ from planact import schemas
 from planact.catalog import sql as q
 from planact.catalog.core import query
 from planact.operators import calendar as cal
-from planact.operators import change, dedupe, quality
-from planact.plans import legacy_report, plan_load
+from planact.operators import change, dedupe, quality, state
+from planact.plans import legacy_report, plan_load, plan_state
 from planact.session import scratch_path, stage
 from planact.sinks import tables as sink
 from planact.sources import star_views as sv
@@ -131,6 +131,48 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return change.changed_shutdown(new, stored)
 
 
+def _loaded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, plan_state.StateTables]:
+    """Facts of all versions, written, and the state after the stored ones were merged load by load."""
+    facts, down = stage(sv.plan(spark, sf), "facts"), stage(sv.shutdown(spark, sf), "shutdown")
+    tables = plan_state.StateTables(scratch_path(spark, "plan-state"))
+    for version in _STORED:
+        mine = F.col("version") == version
+        plan_state.merge(spark, tables, facts.where(mine), down.where(mine), [version])
+    return facts, down, tables
+
+
+@query(
+    "plan_state",
+    q.with_(q.PLAN, q.PLAN_LONG, _STORED_SQL)
+    + """select material_id, strftime(month, '%Y-%m-%d') as month, measure, cast(arg_max(value, inserted_at) as double) as value,
+arg_max(version, inserted_at) as version from v_store group by 1, 2, 3""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The maintained state: latest value and version of every cell after two loads."""
+    _, _, tables = _loaded(spark, sf)
+    return plan_state.read(spark, tables)[0].select("material_id", "month", "measure", "value", "version")
+
+
+@query(
+    "plan_digest_difference",
+    q.with_(
+        q.PLAN, q.PLAN_LONG, _STORED_SQL, _LATEST_SQL,
+        "v_moved as (select material_id, month, measure, coalesce(value, 0) + case when month = date '1997-05-01' "
+        "and measure = 'budget' then 1 else 0 end as value from v_latest)",
+    )
+    + """select strftime(month, '%Y-%m-%d') as month, measure from (
+select n.month, n.measure, count(*) filter (where n.value is distinct from coalesce(s.value, 0)) as moved
+from v_moved n left join v_latest s using (material_id, month, measure) group by 1, 2) where moved > 0""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A workbook like the stored state but for one month of one measure: digests find that month."""
+    _, _, tables = _loaded(spark, sf)
+    now = plan_state.read(spark, tables)[0]
+    here = (F.col("month") == F.lit("1997-05-01").cast("date")) & (F.col("measure") == "budget")
+    moved = F.coalesce("value", F.lit(0)) + F.when(here, 1).otherwise(0)
+    return plan_state.changed_months(spark, tables, now.withColumn("value", moved.cast("decimal(18,2)")))
+
+
 @query(
     "load_decision",
     q.with_(
@@ -147,12 +189,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 1 should_load""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    # Facts are stored tables: the derived ones are written first, then compared.
-    facts, down = stage(sv.plan(spark, sf), "facts"), stage(sv.shutdown(spark, sf), "shutdown")
-    new, stored = facts.where(F.col("version") == _NEW), facts.where(F.col("version").isin(*_STORED))
-    new_down, stored_down = down.where(F.col("version") == _NEW), down.where(F.col("version").isin(*_STORED))
-    budget_down = new_down.where("measure = 'budget'")
-    return change.load_decision(new, budget_down, stored, stored_down).flags
+    """Against the state that two loads have left, merged one after the other."""
+    facts, down, tables = _loaded(spark, sf)
+    new, budget_down = facts.where(F.col("version") == _NEW), down.where(F.col("version") == _NEW).where("measure = 'budget'")
+    return state.decision(new, budget_down, *plan_state.read(spark, tables), state.Known(frozenset(_STORED), False)).flags
 
 
 @query(

@@ -13,7 +13,7 @@ from planact.operators import plan
 from planact.plans import feed_loads, plan_load
 from planact.session import scratch_path, stage
 from planact.sinks import tables as sink
-from planact.sources import grids, ledger, movements, telemetry
+from planact.sources import grids, ledger, movements, records, telemetry
 from planact.sources import star_views as sv
 from planact.streaming import ingest
 
@@ -194,6 +194,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 # --- movement feed ------------------------------------------------------------------------------
 
 
+_TWO_LINES = ' "two\nlines", one cell'
+
+
 def _comma(number, digits: int):
     return F.replace(number.cast(f"decimal(20,{digits})").cast("string"), F.lit("."), F.lit(","))
 
@@ -206,13 +209,13 @@ def raw_movements(spark: SparkSession, sf: str) -> DataFrame:
     given = {
         "BpzIdt": key,
         "MatIdt": F.col("l_partkey").cast("string"),
-        "KeziBez": F.when(F.col("l_linestatus") == "O", F.concat(F.lit("M"), F.col("l_partkey").cast("string"))),
+        "KeziBez": F.when(F.col("l_linestatus") == "O", F.concat(F.lit("M"), F.col("l_partkey").cast("string"), F.when(line == 6, _TWO_LINES).otherwise(""))),
         "MatArt": F.when(flag == "R", "ROH").when(flag == "A", "KRSM").otherwise("HIBE"),
         "BucPer": F.when(F.col("l_tax") > 0.04, F.lit("late")),
         "VrgGrp": F.when(line == 1, "abc").otherwise(line.cast("string")),
         "BucDat": F.when(line == 7, "unknown").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")),
         "LPlzIdt": F.when(supplier == 0, "55").when(supplier == 1, "53").otherwise("51"),
-        "MngW": F.when(line == 3, "n/a").otherwise(_comma(F.col("l_quantity"), 1)),
+        "MngW": F.when(line == 3, "n/a").when(line == 5, "inf").otherwise(_comma(F.col("l_quantity"), 1)),
         "MngD": _comma(-F.col("l_quantity") * sv.KG_PER_UNIT, 3),
         "Pb": _comma(F.col("l_discount"), 2),
         "Zn": _comma(F.col("l_tax"), 2),
@@ -227,13 +230,14 @@ def raw_movements(spark: SparkSession, sf: str) -> DataFrame:
 _CLEAN_CELLS = {
     "BpzIdt": "concat(cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar))",
     "MatIdt": "cast(l_partkey as varchar)",
-    "KeziBez": "case when l_linestatus = 'O' then concat('M', cast(l_partkey as varchar)) else ' ' end",
+    "KeziBez": "case when l_linestatus = 'O' then concat('M', cast(l_partkey as varchar), "
+    "case when l_linenumber = 6 then concat(' \"two', chr(10), 'lines\", one cell') else '' end) else ' ' end",
     "MatArt": "case l_returnflag when 'R' then 'ROH' when 'A' then 'KRSM' else 'HIBE' end",
     "BucPer": "case when l_tax > 0.04 then 'late' end",
     "VrgGrp": "case when l_linenumber = 1 then -1 else l_linenumber end",
     "BucDat": "case when l_linenumber = 7 then '1970-01-01' else strftime(l_shipdate, '%Y-%m-%d') end",
     "LPlzIdt": "case l_suppkey % 3 when 0 then 55 when 1 then 53 else 51 end",
-    "MngW": "case when l_linenumber = 3 then 0.0::double else cast(cast(l_quantity as decimal(20,1)) as double) end",
+    "MngW": "case when l_linenumber in (3, 5) then 0.0::double else cast(cast(l_quantity as decimal(20,1)) as double) end",
     "MngD": "cast(cast(-l_quantity * 137 as decimal(20,3)) as double)",
     "Pb": "cast(cast(l_discount as decimal(20,2)) as double)",
     "Zn": "cast(cast(l_tax as decimal(20,2)) as double)",
@@ -243,23 +247,36 @@ _DEFAULT_SQL = {
     **{c: "-1" for c in ("VrgGrp", "MngEinhIdt", "LOrtIdt", "LPlzIdt", "LgrFirmIdt")},
     **{c: "0.0::double" for c in "MngW MngD Pb Ag Au Cu S Zn FeO SiO2 CaO As Sb Bi Se Cl Cd".split()},
 }
-_CLEAN_SQL = (
-    "v_clean as (select "
-    + ", ".join(f'{_CLEAN_CELLS.get(c, _DEFAULT_SQL[c])} "{c}"' for c in schemas.MOVEMENT_FEED_COLUMNS)
-    + " from lineitem)"
-)
+
+
+def _clean_sql(**changed: str) -> str:
+    cells = {**_DEFAULT_SQL, **_CLEAN_CELLS, **changed}
+    return "v_clean as (select " + ", ".join(f'{cells[c]} "{c}"' for c in schemas.MOVEMENT_FEED_COLUMNS) + " from lineitem)"
+
+
+_CLEAN_SQL = _clean_sql()
+# Landed files: those of the third kind have a misspelled header in place of Zn.
+FILED_SQL = _clean_sql(Zn=f"case when l_orderkey % 3 = 2 then 0.0::double else {_CLEAN_CELLS['Zn']} end")
+
+
+def _landed_text(rows: DataFrame, header: str, quoted: list[str], folder: str) -> None:
+    """One file with a byte order mark, CRLF line ends and every cell in quotes, empty ones too."""
+    cells = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in quoted]
+    head = rows.sparkSession.range(1).select(F.lit("\ufeff" + header).alias("value"))
+    lines = head.unionByName(rows.select(F.concat_ws(",", *cells).alias("value"))).coalesce(1)
+    lines.write.mode("append").option("lineSep", "\r\n").text(f"{folder}/quoted")
 
 
 def write_movement_files(raw: DataFrame, folder: str) -> str:
-    """Three files, or folders of them, with headers of their own: in order, permuted, with a column
-    too few (one that is always empty) and one too many."""
-    part = F.pmod(F.xxhash64("BpzIdt"), F.lit(3))
+    """Files of three kinds, with headers of their own: in order; permuted, all cells quoted, with a byte order mark
+    and CRLF line ends; and with a column too few (one that is always empty), a misspelled one and one too many."""
+    part = F.split("BpzIdt", "-")[0].cast("long") % 3
     names = raw.columns
-    orders = [names, names[::-1], ["Unnamed: 39", *[c for c in names[7::-1] if c != "ChgNmr"], *names[8:-1]]]
-    for i, columns in enumerate(orders):
-        rows = raw.where(part == i).select(*[F.col(f"`{c}`") for c in columns]).coalesce(1)
-        rows = rows if i < 2 else rows.withColumn("extra", F.lit("e, e"))
-        rows.write.mode("append").option("header", True).csv(folder)
+    raw.where(part == 0).coalesce(1).write.mode("append").option("header", True).option("escape", '"').csv(f"{folder}/plain")
+    _landed_text(raw.where(part == 1), ",".join(names[::-1]), names[::-1], folder)
+    few = ["Unnamed: 39", *[c for c in names[7::-1] if c != "ChgNmr"], *names[8:-1]]
+    rows = raw.where(part == 2).select(*[F.col(f"`{c}`").alias("Znn" if c == "Zn" else c) for c in few]).coalesce(1)
+    rows.withColumn("extra", F.lit("e, e")).write.mode("append").option("header", True).option("escape", '"').csv(f"{folder}/few")
     return folder
 
 
@@ -268,14 +285,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return movements.clean_movements(raw_movements(spark, sf))
 
 
-_BAD_CELLS = {"VrgGrp": 1, "BucDat": 7, "MngW": 3}
+_BAD_CELLS = {"VrgGrp": "(1)", "BucDat": "(7)", "MngW": "(3, 5)"}
 
 
 @query(
     "bad_movement_cells",
     "select "
     + ", ".join(
-        f'count(*) filter (where l_linenumber = {_BAD_CELLS.get(c, -1)})::bigint "{c}"'
+        f'count(*) filter (where l_linenumber in {_BAD_CELLS.get(c, "(-1)")})::bigint "{c}"'
         for c in schemas.MOVEMENT_FEED_COLUMNS
         if c in (*schemas.MOVEMENT_FEED_INTS, *schemas.MOVEMENT_FEED_DATES, *schemas.MOVEMENT_FEED_FLOATS)
     )
@@ -285,16 +302,47 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return movements.bad_cells(raw_movements(spark, sf))
 
 
-@query("loaded_movement_files", q.with_(_CLEAN_SQL) + "select * from v_clean")
+KINDS, FILES = "{plain,quoted,few}", "part-*"  # the folders of landed files, and their names
+
+
+@query("loaded_movement_files", q.with_(FILED_SQL) + "select * from v_clean")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Files with different headers, cleaned and appended; loading them again adds nothing."""
+    """Files with different headers, line ends and quoting, appended; loading them again, by blocks of lines, adds nothing."""
     folder = scratch_path(spark, "movements")
     write_movement_files(raw_movements(spark, sf), f"{folder}/landed")
-    for _ in range(2):
-        feed_loads.load_movements(spark, f"{folder}/landed", f"{folder}/table")
+    for split in (records.SPLIT_BYTES, 0):
+        feed_loads.load_movements(spark, f"{folder}/landed/{KINDS}", f"{folder}/table", FILES, split)
     return spark.read.parquet(f"{folder}/table").select(*schemas.MOVEMENT_FEED_COLUMNS)
 
 
+@query("movements_by_blocks", q.with_(FILED_SQL) + "select * from v_clean")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files as large ones are read: as lines, put together into records by the quotes before them."""
+    folder = write_movement_files(raw_movements(spark, sf), scratch_path(spark, "movements"))
+    rows = movements.read_movement_files(spark, f"{folder}/{KINDS}", FILES, split_bytes=0)
+    return movements.clean_movements(rows)
+
+
+_FILED_BAD = {c: f"l_linenumber in {lines}" for c, lines in _BAD_CELLS.items()}
+
+
+@query(
+    "movement_load_counts",
+    "select 'rows' as kind, '' as name, count(*) as n from lineitem union all select 'stored', '', count(*) from lineitem "
+    + " ".join(f"union all select 'bad', '{c}', count(*) from lineitem where {w}" for c, w in _FILED_BAD.items())
+    + " union all select 'files without', 'ChgNmr', 1 union all select 'files without', 'Zn', 1",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """What a load tells about itself: rows read and stored, bad cells by column, columns that files lack."""
+    folder = scratch_path(spark, "movements")
+    write_movement_files(raw_movements(spark, sf), f"{folder}/landed")
+    load = feed_loads.load_movements(spark, f"{folder}/landed/{KINDS}", f"{folder}/table", FILES)
+    told = [("rows", "", load.rows), ("stored", "", load.stored)]
+    told += [("bad", c, n) for c, n in load.bad_cells.items()]
+    told += [("files without", c, len(files)) for c, files in load.missing_columns.items()]
+    return spark.createDataFrame(told, "kind string, name string, n long")
+
+
 # --- telemetry feed --------------------------------------------------------------------------------
 
 

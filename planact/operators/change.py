@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,6 +119,8 @@ class Decision:
     changed_versions: DataFrame
     changed_cells: DataFrame
     changed_shutdown: DataFrame
+    #: After a load: plan rows of the workbook, and how many were left out for what reason.
+    counts: dict[str, int] = field(default_factory=dict)
 
     def should_load(self) -> bool:
         return bool(self.flags.first()["should_load"])

@@ -18,6 +18,18 @@ TIME_MEMBER = _struct(year=_INT, quarter=_INT, month=_INT, day=_INT, is_month=T.
 PLAN_FACT = _struct(
     version=_TEXT, material_id=_TEXT, month=_DAY, measure=_TEXT, value=T.DecimalType(18, 2), inserted_at=_INSTANT
 )
+# The latest state of the plan, in partitions by year, and digests of its versions.
+PART_YEAR = "part_year"
+PLAN_STATE = _struct(
+    material_id=_TEXT, month=_DAY, measure=_TEXT, value=T.DecimalType(18, 2), version=_TEXT, inserted_at=_INSTANT,
+    part_year=_INT,
+)
+SHUTDOWN_STATE = _struct(day=_DAY, measure=_TEXT, hours=_REAL, version=_TEXT, inserted_at=_INSTANT, part_year=_INT)
+_DIGEST = dict(
+    month=_DAY, measure=_TEXT, cells=T.LongType(), low=T.DecimalType(38, 0), high=T.DecimalType(38, 0)
+)
+STATE_DIGEST = _struct(**_DIGEST)
+VERSION_DIGEST = _struct(version=_TEXT, **_DIGEST)
 SHUTDOWN_FACT = _struct(version=_TEXT, day=_DAY, measure=_TEXT, hours=_REAL, inserted_at=_INSTANT)
 MOVEMENT = _struct(doc_id=_TEXT, material_id=_TEXT, label=_TEXT, day=_DAY, cls=_TEXT, place=_INT, kg=_REAL)
 TELEMETRY = _struct(
@@ -43,6 +55,7 @@ MOVEMENT_FEED_FLOATS = (
     "MngW", "MngD", "Pb", "Ag", "Au", "Cu", "S", "Zn", "FeO", "SiO2", "CaO", "As", "Sb", "Bi",
     "Se", "Cl", "Cd",
 )
+MOVEMENT_FEED_MASSES = ("MngW", "MngD")
 MOVEMENT_FEED_UNCLEANED = ("BucPer",)
 
 # --- fixed values: columns of the telemetry feed, by position, with the names used here -------

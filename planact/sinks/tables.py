@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,41 +26,47 @@ def month_of(column: str) -> Column:
     return F.to_date(F.trunc(F.col(column), "MM"))
 
 
-def append_by_month(df: DataFrame, column: str, path: str) -> None:
-    """Append, partitioned by the month of ``column``.
+def append_by_month(df: DataFrame, column: str, path: str) -> int:
+    """Append, partitioned by the month of ``column``; how many rows there were.
 
     Rows are spread by adaptive rebalancing on the month: small months share a task and a
     month that holds most of the rows is split over several, instead of one writer per month.
     """
-    parted = df.withColumn(MONTH, month_of(column))
-    parted.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
+    written = Observation("appended")
+    parted = df.withColumn(MONTH, month_of(column)).hint("rebalance", MONTH)
+    parted.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(MONTH).parquet(path)
+    return written.get["rows"]
 
 
-def append_telemetry(df: DataFrame, path: str) -> None:
-    append_by_month(df, "ts", path)
+def append_telemetry(df: DataFrame, path: str) -> int:
+    return append_by_month(df, "ts", path)
 
 
-def append_movements(spark: SparkSession, cleaned: DataFrame, path: str) -> None:
+def append_movements(spark: SparkSession, cleaned: DataFrame, path: str) -> int:
     """Append movements not stored yet; ``cleaned`` is read twice and should be a staged table."""
     if exists(spark, path):
         stored = spark.read.parquet(path).select(F.col("BpzIdt").alias("doc_id"), F.col("BucDat").alias("day"), MONTH)
         keyed = cleaned.withColumn("doc_id", F.col("BpzIdt")).withColumn("day", F.col("BucDat"))
         cleaned = dedupe.new_movements(keyed, stored, MONTH).drop("doc_id", "day")
-    append_by_month(cleaned, "BucDat", path)
+    return append_by_month(cleaned, "BucDat", path)
+
+
+def _stamped(rows: DataFrame) -> DataFrame:
+    return rows if "inserted_at" in rows.columns else rows.withColumn("inserted_at", F.localtimestamp())
 
 
 def append_plan(rows: DataFrame, path: str) -> None:
-    """Append plan rows stamped with one load time.
+    """Append plan rows, stamped with one load time unless they are already.
 
     Partitioned by version, which every report and check names, and sorted by month inside,
     so that a report reads one version and skips row groups of other months.
     """
-    stamped = rows.withColumn("inserted_at", F.localtimestamp()).select(*schemas.PLAN_FACT.fieldNames())
+    stamped = _stamped(rows).select(*schemas.PLAN_FACT.fieldNames())
     stamped.sortWithinPartitions("version", "month").write.mode("append").partitionBy("version").parquet(path)
 
 
 def append_shutdown(rows: DataFrame, path: str) -> None:
-    stamped = rows.withColumn("inserted_at", F.localtimestamp()).select(*schemas.SHUTDOWN_FACT.fieldNames())
+    stamped = _stamped(rows).select(*schemas.SHUTDOWN_FACT.fieldNames())
     stamped.sortWithinPartitions("version", "day").write.mode("append").partitionBy("version").parquet(path)
 
 
@@ -113,6 +119,16 @@ def recover(spark: SparkSession, path: str) -> None:
             fs.delete(named(suffix), True)
 
 
+def replace_partitions(merged: DataFrame, path: str, partition: str) -> None:
+    """Put rows in place of the partitions they belong to; the others stay. ``merged`` must not read ``path``."""
+    (
+        merged.hint("rebalance", partition).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def upsert_partitions(
     spark: SparkSession, path: str, schema: T.StructType, source: DataFrame, keys: Sequence[str], partition: str
 ) -> None:

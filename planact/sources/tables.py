@@ -24,6 +24,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write below ``path`` came to its end; an interrupted one leaves a folder without the mark."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> frozenset[str]:
+    """The values a stored table is partitioned by, from the names of its folders; nothing is read."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return frozenset()
+    names = [f.getPath().getName() for f in fs.listStatus(root)]
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return frozenset(unescape(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}="))
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table, or no rows before its first load."""
     if exists(spark, path):

@@ -226,7 +226,9 @@ def test_every_movement_file_is_read_by_its_own_header(spark, tmp_path):
     landed.mkdir()
     for name, text in FILES.items():
         (landed / name).write_text(text)
-    assert feed_loads.load_movements(spark, str(landed), table) == {"MngD": 1}
+    load = feed_loads.load_movements(spark, str(landed), table)
+    assert (load.rows, load.stored, load.bad_cells) == (3, 3, {"MngD": 1})
+    assert load.missing_columns["MatArt"] == ["c.csv"] and load.missing_columns["Zn"] == ["a.csv", "b.csv", "c.csv"]
     assert rows(spark.read.parquet(table), *CORE) == EXPECTED
     (landed / "d.csv").write_text("1,2,3\n")
     with pytest.raises(Exception, match="no header in movement file"):

@@ -51,11 +51,17 @@ def test_stored_documents_are_not_added_again(spark, tmp_path):
     ]
 
 
+def landed_rows(spark, tmp_path, files_per_batch=None):
+    files = ingest.stream_movement_files(spark, str(tmp_path / "in"), files_per_batch=files_per_batch)
+    ingest.land_movements(files, str(tmp_path / "landed"), str(tmp_path / "c-landed")).awaitTermination()
+    return ingest.stream_landed(spark, str(tmp_path / "landed"), files_per_batch)
+
+
 def test_bounded_dedup(spark, tmp_path):
     landed = tmp_path / "in"
     landed.mkdir()
     (landed / "a.csv").write_text(movement_lines(("d1", "2025-01-01"), ("d1", "2025-01-01"), (" d1", "2025-01-01"), ("d2", "2025-01-01"), ("d3", "?")))
-    kept = ingest.distinct_movements(ingest.stream_movement_files(spark, str(landed)))
+    kept = ingest.distinct_movements(landed_rows(spark, tmp_path))
     ingest.append_stream(kept, "BucDat", str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
     # The row without a readable date is kept, not taken for late.
     assert rows(spark.read.parquet(str(tmp_path / "t")).selectExpr("trim(BpzIdt)")) == [("d1",), ("d2",), ("d3",)]
@@ -100,7 +106,7 @@ def test_no_unseen_document_is_late(spark, tmp_path):
     landed.mkdir()
     for i, posted in enumerate(("2025-03-01", "2025-03-02", "2025-01-05", "2025-03-01")):
         (landed / f"{i}.csv").write_text(movement_lines((f"d{i % 3}", posted)))
-    kept = ingest.distinct_movements(ingest.stream_movement_files(spark, str(landed), files_per_batch=1))
+    kept = ingest.distinct_movements(landed_rows(spark, tmp_path, files_per_batch=1))
     ingest.append_stream(kept, "BucDat", str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "t")), "BpzIdt", "BucDat") == [
         ("d0", day("2025-03-01")), ("d1", day("2025-03-02")), ("d2", day("2025-01-05"))
