@@ -18,6 +18,11 @@ TIME_MEMBER = _struct(year=_INT, quarter=_INT, month=_INT, day=_INT, is_month=T.
 PLAN_FACT = _struct(
     version=_TEXT, material_id=_TEXT, month=_DAY, measure=_TEXT, value=T.DecimalType(18, 2), inserted_at=_INSTANT
 )
+# Filters of stored movement keys, in partitions by month.
+KEY_FILTER = _struct(
+    blocks=T.LongType(), block=T.LongType(), keys=T.LongType(), w0=T.LongType(), w1=T.LongType(), w2=T.LongType(),
+    w3=T.LongType(), part_month=_DAY,
+)
 # The latest state of the plan, in partitions by year, and digests of its versions.
 PART_YEAR = "part_year"
 PLAN_STATE = _struct(

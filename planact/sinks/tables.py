@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 
 from planact import schemas
 from planact.operators import calendar as cal
-from planact.operators import dedupe, upsert
+from planact.operators import dedupe, keyfilter, upsert
 from planact.session import stage, staging
-from planact.sources.tables import exists, read_or_empty
+from planact.sources.tables import exists, partition_values, read_or_empty
 
 MONTH = schemas.PART_MONTH
 
@@ -43,12 +43,87 @@ def append_telemetry(df: DataFrame, path: str) -> int:
 
 
 def append_movements(spark: SparkSession, cleaned: DataFrame, path: str) -> int:
-    """Append movements not stored yet; ``cleaned`` is read twice and should be a staged table."""
-    if exists(spark, path):
-        stored = spark.read.parquet(path).select(F.col("BpzIdt").alias("doc_id"), F.col("BucDat").alias("day"), MONTH)
-        keyed = cleaned.withColumn("doc_id", F.col("BpzIdt")).withColumn("day", F.col("BucDat"))
-        cleaned = dedupe.new_movements(keyed, stored, MONTH).drop("doc_id", "day")
-    return append_by_month(cleaned, "BucDat", path)
+    """Append movements whose document and posting day are not stored yet; how many were appended.
+
+    Filters of the stored keys, one per month beside the table, tell which rows cannot be stored. Stored keys are
+    read only for the rest, and only of the months these fall into. A filter takes the rows in before the table
+    does: after an interruption it holds too many keys, which costs a look, never too few. Every append
+    goes through here; a month without a filter, as an older table has, gets one from its stored keys.
+    """
+    return append_movements_counted(spark, cleaned, path)[0]
+
+
+def append_movements_counted(spark: SparkSession, cleaned: DataFrame, path: str) -> tuple[int, int]:
+    """As ``append_movements``; also how many rows had to be looked up among the stored keys."""
+    with staging(spark):
+        rows = cleaned.withColumn(MONTH, month_of("BucDat"))
+        sizes = {r[0]: r[1] for r in rows.groupBy(MONTH).count().collect() if r[0] is not None}  # months of one load
+        known = partition_values(spark, path, MONTH)
+        filters = _month_filters(spark, path, {m: n for m, n in sizes.items() if str(m) in known})
+        looked_up = 0
+        if filters is not None:
+            seen = Observation("asked")
+            flagged = keyfilter.marked(rows, filters, MONTH, _key(), "__maybe")
+            flagged = stage(flagged.observe(seen, F.count_if("__maybe").alias("n")), "movement-keys")
+            looked_up = seen.get["n"]
+            rows = flagged.where("not __maybe").drop("__maybe")
+            if looked_up:
+                maybe = flagged.where("__maybe").withColumn("doc_id", F.col("BpzIdt")).withColumn("day", F.col("BucDat"))
+                stored = spark.read.parquet(path).select(F.col("BpzIdt").alias("doc_id"), F.col("BucDat").alias("day"), MONTH)
+                new = dedupe.new_movements(maybe, stored, MONTH)
+                rows = stage(rows.unionByName(new.select(*rows.columns)), "movement-new")
+        _add_keys(spark, rows, path, sizes)
+        return append_by_month(rows.drop(MONTH), "BucDat", path), looked_up
+
+
+def _key() -> list[Column]:
+    return [F.trim("BpzIdt"), F.col("BucDat")]
+
+
+def _keys(path: str) -> str:
+    return path.rstrip("/") + "_keys"
+
+
+def _month_filters(spark: SparkSession, path: str, sizes: dict) -> DataFrame | None:
+    """The filters of stored months; one that is missing, or too full with the new rows, is built from the stored keys."""
+    if not sizes:
+        return None
+    months = [F.lit(str(m)).cast("date") for m in sizes]
+    filters = read_or_empty(spark, _keys(path), schemas.KEY_FILTER).where(F.col(MONTH).isin(months))
+    held = {r[0]: r for r in filters.groupBy(MONTH).agg(F.sum("keys"), F.max("blocks")).collect()}
+    short = {m for m, n in sizes.items() if m not in held or (held[m][1] + n) > keyfilter.FULL * held[m][2]}
+    if short:
+        stored = spark.read.parquet(path).where(F.col(MONTH).isin([F.lit(str(m)).cast("date") for m in short]))
+        stored = stored.select("BpzIdt", "BucDat", MONTH)
+        counts = {r[0]: r[1] for r in stored.groupBy(MONTH).count().collect()}
+        wide = _wide({m: counts.get(m, 0) + sizes[m] for m in short})
+        built = keyfilter.summed(stored, MONTH, _key(), wide)
+        replace_partitions(built.select(*schemas.KEY_FILTER.fieldNames()), _keys(path), MONTH)
+        filters = read_or_empty(spark, _keys(path), schemas.KEY_FILTER).where(F.col(MONTH).isin(months))
+    return stage(filters, "key-filters")
+
+
+def _wide(sizes: dict) -> Column:
+    """How many blocks each month gets."""
+    wide = F.lit(1)
+    for month, n in sizes.items():
+        wide = F.when(F.col(MONTH) == F.lit(str(month)).cast("date"), keyfilter.blocks_for(n)).otherwise(wide)
+    return wide
+
+
+def _add_keys(spark: SparkSession, rows: DataFrame, path: str, sizes: dict) -> None:
+    """Take the keys of new rows into the filters of their months."""
+    months = [F.lit(str(m)).cast("date") for m in sizes]
+    if not months:
+        return
+    old = read_or_empty(spark, _keys(path), schemas.KEY_FILTER).where(F.col(MONTH).isin(months))
+    held = {r[0]: r[1] for r in old.groupBy(MONTH).agg(F.max("blocks")).collect()}
+    wide = _wide({m: n for m, n in sizes.items() if m not in held})
+    for month, blocks in held.items():
+        wide = F.when(F.col(MONTH) == F.lit(str(month)).cast("date"), blocks).otherwise(wide)
+    new = keyfilter.summed(rows.where(F.col(MONTH).isNotNull()), MONTH, _key(), wide)
+    both = keyfilter.merged(new.unionByName(old.select(*new.columns)), MONTH)
+    replace_partitions(stage(both.select(*schemas.KEY_FILTER.fieldNames()), "key-filters"), _keys(path), MONTH)
 
 
 def _stamped(rows: DataFrame) -> DataFrame:
