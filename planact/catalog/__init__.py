@@ -5,6 +5,7 @@ from planact.catalog import (  # noqa: F401  (importing registers the queries)
     change_queries,
     expression_queries,
     feed_queries,
+    history_queries,
     plan_queries,
     report_queries,
     stream_queries,

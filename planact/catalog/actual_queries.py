@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,23 +13,26 @@ from planact.functions import rounding as r
 from planact.operators import actuals
 from planact.sources import star_views as sv
 
-# The calendar of the history queries encloses every movement of the test tables.
-FIRST, LAST = "1995-01-01", "2001-12-31"
 # Dense outputs (every material on every day) take the interval of one report.
 MONTH_START, MONTH_END = "1998-01-01", "1998-01-31"
 
-_HISTORY = q.calendar(FIRST, LAST)
+_HISTORY = q.HISTORY
 _MONTH = q.calendar(MONTH_START, MONTH_END)
 _BASE = "v_base as (select day from v_days)"
 
 
+def history(spark: SparkSession, sf: str) -> tuple[dt.date, dt.date]:
+    """First and last day of the movements."""
+    return tuple(sv.movements(spark, sf).agg(F.min("day"), F.max("day")).first())
+
+
 @query(
     "actual_daily_total",
     q.with_(q.MOVEMENT, q.ACTUAL, _HISTORY)
     + f"select {q.DAY}, cast(coalesce(actual, 0) as bigint) tons from v_days left join v_actual using (day)",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return actuals.daily_total(sv.movements(spark, sf), FIRST, LAST)
+    return actuals.daily_total(sv.movements(spark, sf), *history(spark, sf))
 
 
 _SUMMARY = (
@@ -93,7 +98,7 @@ def _register_shares(name: str, where: str) -> None:
     @query(f"daily_{name}", text)
     def _(spark: SparkSession, sf: str) -> DataFrame:
         return actuals.daily_share(
-            sv.movements(spark, sf), sv.materials(spark, sf), actuals.SELECTIONS[name], FIRST, LAST
+            sv.movements(spark, sf), sv.materials(spark, sf), actuals.SELECTIONS[name], *history(spark, sf)
         )
 
 
@@ -137,7 +142,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     daily = actuals.daily_share(
-        sv.movements(spark, sf), sv.materials(spark, sf), actuals.SELECTIONS["concentrates"], FIRST, LAST
+        sv.movements(spark, sf), sv.materials(spark, sf), actuals.SELECTIONS["concentrates"], *history(spark, sf)
     )
     return actuals.monthly_totals(daily)
 
@@ -161,9 +166,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("named_material_by_day", _dense("material_name = (select min(material_name) from v_material)"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     materials = sv.materials(spark, sf)
-    name = materials.agg(F.min("material_name")).first()[0]
-    selection = actuals.Selection(material_name=name)
-    return actuals.daily_by_material(sv.movements(spark, sf), materials, selection, MONTH_START, MONTH_END)
+    named = materials.where(F.col("material_name") == materials.agg(F.min("material_name")).scalar())
+    everything = actuals.SELECTIONS["all_materials"]
+    return actuals.daily_by_material(sv.movements(spark, sf), named, everything, MONTH_START, MONTH_END)
 
 
 def _register_side_stream(name: str, which: str, where: str, view: str, column: str) -> None:
@@ -184,7 +189,7 @@ def _register_side_stream(name: str, which: str, where: str, view: str, column:
 
     @query(f"{name}_daily", per_day)
     def _(spark: SparkSession, sf: str) -> DataFrame:
-        return actuals.side_stream_daily(sv.movements(spark, sf), which, FIRST, LAST)
+        return actuals.side_stream_daily(sv.movements(spark, sf), which, *history(spark, sf))
 
 
 _register_side_stream("recirculates", "recirculate", "cls = 'KRSM' and place = 55", q.RECIRCULATE, "recirculates")
@@ -200,7 +205,7 @@ _register_side_stream("fluxes", "flux", "cls = 'HIBE' and place in (53, 55)", q.
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     mass = actuals.day_material_mass(sv.movements(spark, sf))
-    return actuals.daily_measures(mass, sv.materials(spark, sf), FIRST, LAST)
+    return actuals.daily_measures(mass, sv.materials(spark, sf), *history(spark, sf))
 
 
 @query(

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from planact import schemas
 from planact.catalog import sql as q
+from planact.catalog.actual_queries import history
 from planact.catalog.core import query
+from planact.catalog.report_queries import legacy
 from planact.operators import calendar as cal
 from planact.operators import change, dedupe, quality, state
 from planact.plans import legacy_report, plan_load, plan_state
@@ -279,27 +281,24 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schemas.MATERIAL).parquet(path)
 
 
-@query(
-    "upserted_report",
-    q.with_(q.MOVEMENT, q.calendar("1998-01-01", "1998-03-31"), q.MATERIAL, "v_base as (select day from v_days)", q.MEASURES)
-    + """select strftime(day, '%Y-%m-%d') monthday, cast(actual as bigint) || ' t' actual, cast(fluxes as bigint) || ' t' fluxes
-from v_measures""",
-)
+@query("upserted_report", q.with_(legacy()) + "select * from v_legacy")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """The older report table: two months stored, the second and third written over them."""
-    data = sv.inputs(spark, sf)
+    """The older report table: the first half of history stored with one month stale, that month and all later ones written over it."""
+    data, (lo, hi) = sv.inputs(spark, sf), history(spark, sf)
     path = scratch_path(spark, "report")
-    first = legacy_report.legacy_rows(data, "1998-01-01", "1998-02-28").withColumn(
-        sink.MONTH, sink.month_of(legacy_report.KEY)
-    )
-    second = legacy_report.legacy_rows(data, "1998-02-01", "1998-03-31").withColumn(
-        sink.MONTH, sink.month_of(legacy_report.KEY)
+    middle = cal.month_of(lo + (hi - lo) / 2)
+    first = legacy_report.legacy_rows(data, lo, cal.end_of_month(middle)).withColumn(sink.MONTH, sink.month_of(legacy_report.KEY))
+    second = legacy_report.legacy_rows(data, middle, hi).withColumn(sink.MONTH, sink.month_of(legacy_report.KEY))
+    old = F.col(legacy_report.KEY) >= F.lit(middle)
+    stale = first.select(
+        legacy_report.KEY,
+        *[F.when(old, "stale").otherwise(F.col(c)).alias(c) for c in first.columns[1:-1]],
+        sink.MONTH,
     )
-    stale = first.withColumn("actual", F.when(F.month(legacy_report.KEY) == 2, "stale").otherwise(F.col("actual")))
     schema = first.schema
     sink.upsert_partitions(spark, path, schema, stale, [legacy_report.KEY], sink.MONTH)
     sink.upsert_partitions(spark, path, schema, second, [legacy_report.KEY], sink.MONTH)
-    return spark.read.schema(schema).parquet(path).select(legacy_report.KEY, "actual", "fluxes")
+    return spark.read.schema(schema).parquet(path).drop(sink.MONTH)
 
 
 @query(

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planact.catalog import sql as q
-from planact.catalog.core import query
+from planact.catalog.actual_queries import history
+from planact.catalog.core import plain, query
 from planact.operators import actuals, telemetry
 from planact.plans import category_sums, combined, daily_report, legacy_report, material_report
 from planact.session import scratch_path
@@ -87,10 +88,10 @@ _REPORT = q.with_(
 )
 
 
-@query(
-    "daily_report",
-    _REPORT + "select strftime(day, '%Y-%m-%d') as day, forecast, budget, " + ", ".join(_SEEN) + " from v_report",
-)
+_DAILY_REPORT = _REPORT + "select strftime(day, '%Y-%m-%d') as day, forecast, budget, " + ", ".join(_SEEN) + " from v_report"
+
+
+@query("daily_report", _DAILY_REPORT)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return daily_report.daily_report(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION)
 
@@ -147,8 +148,7 @@ _SUM_PARTS = (
 )
 
 
-@query(
-    "category_sums",
+_CATEGORY_SUMS = (
     q.with_(
         *_SUM_PARTS,
         f"v_p as (select label, sum(b_milli) b, sum(f_milli) f from v_daily where version = '{VERSION}' "
@@ -158,8 +158,11 @@ _SUM_PARTS = (
     )
     + f"""select label, {q.milli("coalesce(b, 0)")} total_budget, {q.milli("coalesce(f, 0)")} total_forecast,
 cast(case when b is null then 0 else coalesce(t, 0) end as double) total_actual
-from v_label left join v_p using (label) left join v_a using (label)""",
+from v_label left join v_p using (label) left join v_a using (label)"""
 )
+
+
+@query("category_sums", _CATEGORY_SUMS)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return category_sums.category_sums(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION)
 
@@ -205,19 +208,58 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return material_report.material_report(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION)
 
 
-@query("combined_report_written", _MATERIAL_REPORT)
+_PARTS = {
+    "report": (_DAILY_REPORT, "day"),
+    "category_sums": (_CATEGORY_SUMS, "label"),
+    "report_per_material": (_MATERIAL_REPORT, "day, material_name, material_id, material_type, category"),
+}
+
+
+def _long_sql(part: str, text: str, keys: str) -> str:
+    joined = " || '|' || ".join(keys.split(", "))
+    numbers = f"select {joined} as key, columns(* exclude ({keys}))::double from ({text})"
+    return (
+        f"select '{part}' part, key, measure, number, cast(null as varchar) as text from "
+        f"({numbers}) unpivot include nulls (number for measure in (columns(* exclude key)))"
+    )
+
+
+_PARAMS = {"Start Date:": f"{START} 00:00", "End Date:": f"{END} 23:59", "Version Name:": VERSION}
+
+
+@query(
+    "combined_report_written",
+    " union all ".join(
+        [_long_sql(name, *part) for name, part in _PARTS.items()]
+        + [f"select '{name}_params', '{k}', 'value', null, '{v}'" for name in _PARTS for k, v in _PARAMS.items()]
+    ),
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """All parts written to a report folder; the per-material part is read back."""
+    """All parts and their parameter blocks written to a report folder and read back, a row per number or text."""
     folder = scratch_path(spark, "reports")
     written = combined.write_combined_report(sv.inputs(spark, sf, (START, END), VERSION), START, END, VERSION, folder)
-    return spark.read.parquet(written["report_per_material"])
+    rows = None
+    for name, (_, keys) in _PARTS.items():
+        part = plain(spark.read.parquet(written[name]))
+        ids = keys.split(", ")
+        numbers = [F.col(c).cast("double").alias(c) for c in part.columns if c not in ids]
+        long = part.select(F.concat_ws("|", *ids).alias("key"), *numbers).unpivot(
+            "key", [c for c in part.columns if c not in ids], "measure", "number"
+        )
+        params = spark.read.parquet(f"{written[name]}_params").select(
+            F.lit(f"{name}_params").alias("part"), F.col("description").alias("key"), F.lit("value").alias("measure"),
+            F.lit(None).cast("double").alias("number"), F.col("value").alias("text"),
+        )
+        long = long.select(F.lit(name).alias("part"), "*", F.lit(None).cast("string").alias("text")).unionByName(params)
+        rows = long if rows is None else rows.unionByName(long)
+    return rows
 
 
 # --- older report table ----------------------------------------------------------------------------------
 
 
-def _legacy(start: str, end: str) -> str:
-    """Text rows of the days of an interval as v_legacy."""
+def legacy() -> str:
+    """Text rows of all days of the movements as v_legacy."""
     moved = "actual > 0"
     pct = ", ".join(
         f"case when {moved} then cast(cast(cast({n}_tenths as double) / 10 as decimal(30,1)) as varchar) || ' %' "
@@ -226,16 +268,16 @@ def _legacy(start: str, end: str) -> str:
     )
     return ",\n".join(
         [
-            q.MATERIAL, q.MOVEMENT, q.calendar(start, end), "v_base as (select day from v_days)", q.MEASURES,
+            q.MATERIAL, q.MOVEMENT, q.HISTORY, "v_base as (select day from v_days)", q.MEASURES,
             f"v_legacy as (select strftime(day, '%Y-%m-%d') monthday, {_text('actual')} || ' t' actual, {pct}, "
             f"{_text('fluxes')} || ' t' fluxes from v_measures)",
         ]
     )
 
 
-@query("legacy_report", q.with_(_legacy("1995-01-01", "2001-12-31")) + "select * from v_legacy")
+@query("legacy_report", q.with_(legacy()) + "select * from v_legacy")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return legacy_report.legacy_rows(sv.inputs(spark, sf), "1995-01-01", "2001-12-31")
+    return legacy_report.legacy_rows(sv.inputs(spark, sf), *history(spark, sf))
 
 
 @query(

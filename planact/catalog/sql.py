@@ -101,6 +101,12 @@ def calendar(start: str, end: str) -> str:
     )
 
 
+# All days of the movements, from the first to the last.
+HISTORY = (
+    "v_days as (select cast(unnest(generate_series(cast(min(day) as timestamp), cast(max(day) as timestamp), interval 1 day)) "
+    "as date) as day from v_movement)"
+)
+
 # Rounded tons per day and material, raw material of both places.
 RAW_BY_MATERIAL = f"""v_raw as (
 select day, material_id, {abs_tons("sum(kg)", 1)} t
