@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,18 +19,31 @@ RAW = T.StructType([T.StructField(c, T.StringType()) for c in schemas.TELEMETRY_
 def parse(raw: DataFrame) -> DataFrame:
     """Text rows to typed rows. The preamble has no timestamp in its first cell and drops out
     together with data rows that lack one."""
+    sensors = [_sensor(feed).alias(name) for feed, name in schemas.TELEMETRY_FEED.items() if name != "ts"]
+    extra = [c for c in raw.columns if c not in schemas.TELEMETRY_FEED]
+    return raw.select(_stamp().alias("ts"), *sensors, *extra).where(F.col("ts").isNotNull())
+
+
+def _stamp() -> Column:
     stamp = F.trim("Zeitstempel")
     german = F.when(
         stamp.rlike(GERMAN_TIMESTAMP), F.try_to_timestamp(stamp, F.lit(GERMAN_FORMAT)).cast("timestamp_ntz")
     )
-    ts = F.coalesce(stamp.try_cast("timestamp_ntz"), german)
-    sensors = [
-        F.trim(feed).try_cast("decimal(10,2)").alias(name)
+    return F.coalesce(stamp.try_cast("timestamp_ntz"), german)
+
+
+def _sensor(feed: str) -> Column:
+    return F.trim(feed).try_cast("decimal(10,2)")
+
+
+def row_counts() -> list[Column]:
+    """Aggregates over text rows: all, those without a timestamp (the preamble among them), and bad cells by sensor."""
+    bad = [
+        F.count_if(F.col(feed).isNotNull() & _sensor(feed).isNull() & _stamp().isNotNull()).alias(name)
         for feed, name in schemas.TELEMETRY_FEED.items()
         if name != "ts"
     ]
-    extra = [c for c in raw.columns if c not in schemas.TELEMETRY_FEED]
-    return raw.select(ts.alias("ts"), *sensors, *extra).where(F.col("ts").isNotNull())
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(_stamp().isNull()).alias("without_time"), *bad]
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:

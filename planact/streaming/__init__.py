@@ -1,3 +1,3 @@
-from planact.streaming import ingest, windows
+from planact.streaming import corrections, ingest, progress, windows
 
-__all__ = ["ingest", "windows"]
+__all__ = ["corrections", "ingest", "progress", "windows"]

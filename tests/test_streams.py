@@ -1,11 +1,12 @@
 import datetime as dt
+import time
 
 from conftest import day, rows
 
 from planact import schemas
 from planact.sinks.tables import MONTH
 from planact.sources import telemetry
-from planact.streaming import ingest, windows
+from planact.streaming import ingest, progress, windows
 
 COLUMNS = ",".join(schemas.MOVEMENT_FEED_COLUMNS)
 
@@ -123,3 +124,28 @@ def test_batch_and_stream_share_one_table(spark, tmp_path):
     for checkpoint in ("c", "c", "lost"):
         ingest.ingest_telemetry(spark, str(landed), table, str(tmp_path / checkpoint)).awaitTermination()
     assert rows(spark.read.parquet(table), "feed") == [(10.0,), (11.0,)]
+
+
+def test_streams_tell_what_they_saw(spark, tmp_path):
+    landed, counts, loads = tmp_path / "in", progress.ObservedCounts(), []
+    drop(landed, "a.csv", ("2025-01-05 06:00:00", 10), ("2025-01-05 07:00:00", "x"))
+    drop(landed, "b.csv", ("2025-01-06 06:00:00", ""), ("someday", 1))
+    spark.streams.addListener(counts)
+    try:
+        ingest.ingest_telemetry(spark, str(landed), str(tmp_path / "t"), str(tmp_path / "c"), files_per_batch=1).awaitTermination()
+        for _ in range(100):
+            if counts.counts["telemetry"]["rows"] == 6:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counts)
+    seen = {k: n for k, n in counts.counts["telemetry"].items() if n}
+    assert seen == {"rows": 6, "without_time": 3, "feed": 1}
+    moved = tmp_path / "moved"
+    moved.mkdir()
+    (moved / "a.csv").write_text(movement_lines(("d1", "2025-01-01"), ("d2", "?")))
+    (moved / "b.csv").write_text(movement_lines(("d1", "2025-01-01")))
+    for checkpoint in ("m1", "m2"):
+        files = ingest.stream_movement_files(spark, str(moved))
+        ingest.append_new_movements(files, str(tmp_path / "m"), str(tmp_path / checkpoint), told=loads.append).awaitTermination()
+    assert [(x.rows, x.stored, x.bad_cells) for x in loads] == [(3, 3, {"BucDat": 1}), (3, 0, {"BucDat": 1})]
