@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 import xxhash
@@ -32,8 +33,8 @@ def plain_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_simhash(spark, documents):
-    prints = {d: plain_fingerprint(t) for d, t in documents.items()}
+def plain_components(prints):
+    """Every document's smallest reachable one, by looking at all pairs until nothing changes."""
     ids = sorted(prints)
     component = {d: d for d in ids}
     changed = True
@@ -43,6 +44,22 @@ def test_simhash(spark, documents):
             for b in ids:
                 if bin(prints[a] ^ prints[b]).count("1") <= 3 and component[a] < component[b]:
                     component[b], changed = component[a], True
+    return component
+
+
+def test_near_duplicates_stage_of_the_pipeline(spark, documents):
+    """One document of each group stays, whole and unchanged."""
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    component = plain_components({d: plain_fingerprint(t) for d, t in documents.items()})
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, table, SF)
+    assert kept.columns == table.columns
+    assert {r.doc_id: r.text or "" for r in kept.collect()} == {d: t for d, t in documents.items() if component[d] == d}
+
+
+def test_simhash(spark, documents):
+    prints = {d: plain_fingerprint(t) for d, t in documents.items()}
+    ids = sorted(prints)
+    component = plain_components(prints)
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in run(spark, "op5_simhash")}
     assert got == {d: (f"{prints[d]:016x}", component[d]) for d in ids}
     assert len(set(component.values())) < len(ids)
