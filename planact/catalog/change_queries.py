@@ -191,10 +191,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 1 should_load""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Against the state that two loads have left, merged one after the other."""
-    facts, down, tables = _loaded(spark, sf)
-    new, budget_down = facts.where(F.col("version") == _NEW), down.where(F.col("version") == _NEW).where("measure = 'budget'")
-    return state.decision(new, budget_down, *plan_state.read(spark, tables), state.Known(frozenset(_STORED), False)).flags
+    """Against the state of two stored versions; ``plan_state`` is the query that merges it load by load."""
+    (new, stored), (new_down, stored_down) = _plan(spark, sf), _shutdown(spark, sf)
+    plan, down = state.plan_state(stored), state.shutdown_state(stored_down)
+    known = state.Known(frozenset(_STORED), False)
+    return state.decision(new, new_down.where("measure = 'budget'"), plan, down, known).flags
 
 
 @query(

@@ -100,28 +100,14 @@ def _news(new_plan: DataFrame, dim_time: DataFrame | None) -> DataFrame:
 
 
 def _cells(new_plan: DataFrame, state: DataFrame, dim_time: DataFrame | None) -> DataFrame:
-    """One row per cell of either side: the new rows of the cell, and what is stored.
-
-    Both sides are dealt by material once; the cell, the material's measure and the material are all grouped
-    within that deal.
-    """
-    none = F.lit(None)
-    kind = new_plan.schema["value"].dataType
+    """New rows beside the stored state of their cell, and the state of all other cells."""
     news = _news(new_plan, dim_time).select(
-        *CELL, F.struct("value", "version", "asked").alias("new"), none.cast(kind).alias("value"),
-        none.cast("string").alias("version"), none.cast("timestamp_ntz").alias("inserted_at"), F.lit(False).alias("old"),
+        *CELL, F.col("value").alias("new_value"), F.col("version").alias("new_version"), "asked", F.lit(True).alias("new")
     )
     olds = state.select(
-        *CELL, none.cast(news.schema["new"].dataType).alias("new"), F.col("value").cast(kind).alias("value"),
-        "version", "inserted_at", F.lit(True).alias("old"),
-    )
-    both = news.unionByName(olds).withColumn("name", F.trim("material_id"))
-    return both.repartition("name").groupBy("name", *CELL).agg(
-        F.collect_list("new").alias("news"),
-        F.max("value").alias("stored_value"),
-        F.max(F.when(F.col("version").isNotNull(), F.struct("inserted_at", "version"))).alias("stored"),
-        F.max("old").alias("old"),
+        *CELL, F.col("value").alias("stored_value"), F.struct("inserted_at", "version").alias("stored"), F.lit(True).alias("old")
     )
+    return news.join(olds, CELL, "full_outer").withColumn("name", F.trim("material_id"))
 
 
 def decision(
@@ -170,18 +156,19 @@ def decision(
 
 def _per_measure(new_plan: DataFrame, plan: DataFrame, dim_time: DataFrame | None) -> DataFrame:
     """Per material and measure: how many new cells, the changed ones, new versions that are not the latest stored one."""
-    found = F.filter("news", lambda n: n["asked"] & compare.value_changed(F.col("stored_value"), n["value"]))
-    changed = F.transform(
-        found, lambda n: F.struct("month", "stored_value", n["value"].alias("new_value"))
-    )
+    is_new = F.col("new").isNotNull()
+    changed = is_new & F.col("asked") & compare.value_changed(F.col("stored_value"), F.col("new_value"))
     grouped = _cells(new_plan, plan, dim_time).groupBy("name", "material_id", "measure").agg(
-        F.sum(F.size("news")).alias("new_cells"),
-        F.flatten(F.collect_list(changed)).alias("changed"),
-        F.max("stored")["version"].alias("stored_version"),
-        F.max("old").alias("old"),
-        F.array_distinct(F.flatten(F.collect_list(F.transform("news", lambda n: n["version"])))).alias("versions"),
+        F.count("new").alias("new_cells"),
+        F.collect_list(F.when(changed, F.struct("month", "stored_value", "new_value"))).alias("changed"),
+        F.max(F.when(F.col("stored.version").isNotNull(), F.col("stored")))["version"].alias("stored_version"),
+        (F.count("old") > 0).alias("old"),
+        F.collect_set("new_version").alias("versions"),
+        F.count_if(is_new & F.col("new_version").isNull()).alias("nameless"),
     )
-    return grouped.withColumn("moved", F.filter("versions", lambda v: ~v.eqNullSafe(F.col("stored_version"))))
+    versions = F.when(F.col("nameless") > 0, F.concat("versions", F.array(F.lit(None).cast("string")))).otherwise(F.col("versions"))
+    named = grouped.withColumn("versions", versions).drop("nameless")
+    return named.withColumn("moved", F.filter("versions", lambda v: ~v.eqNullSafe(F.col("stored_version"))))
 
 
 def _days(new_shutdown: DataFrame, state: DataFrame, dim_time: DataFrame | None) -> DataFrame:
