@@ -7,10 +7,13 @@ import random
 import pytest
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from planact import schemas
+from planact.catalog import feed_queries
 from planact.functions.cleaning import clean_header
 from planact.plans import feed_loads
-from planact.sources import movements
+from planact.sources import movements, records
 from planact.streaming import ingest
 
 COLUMNS = schemas.MOVEMENT_FEED_COLUMNS
@@ -125,6 +128,40 @@ def test_missing_columns_raise_or_are_counted(spark, tmp_path):
         feed_loads.load_movements(spark, str(folder), str(tmp_path / "t"))
 
 
+def test_landed_files_grow_in_number(spark, tmp_path):
+    """Files of a bounded number of records, each led by its header, hold the rows that one file per kind holds."""
+    lines = [(f"{i}-{i % 7}", f"M{i}", 'M "two\nlines", one' if i % 5 == 0 else None, "2025-01-01", "1,5") for i in range(90)]
+    given = spark.createDataFrame(lines, "BpzIdt string, MatIdt string, KeziBez string, BucDat string, Zn string").repartition(6)
+    raw = given.select(*[F.col(c) if c in given.columns else F.lit(None).cast("string").alias(c) for c in COLUMNS], F.lit("x").alias("Unnamed: 39"))
+    one = feed_queries.write_movement_files(raw, str(tmp_path / "one"))
+    many = feed_queries.write_movement_files(raw, str(tmp_path / "many"), rows_per_file=10, few_files=1)
+    assert {k: len(list((tmp_path / "many" / k).glob("part-*"))) for k in ("plain", "quoted", "few")} == {"plain": 3, "quoted": 3, "few": 1}
+    expected = [tuple(None if c == "Zn" and int(r["BpzIdt"].split("-")[0]) % 3 == 2 else r[c] for c in COLUMNS) for r in raw.collect()]
+    for folder in (one, many):
+        for split in (0, 1 << 20):
+            files = movements.open_movement_files(spark, f"{folder}/{feed_queries.KINDS}", feed_queries.FILES, split)
+            assert rows(files.rows, *COLUMNS) == sorted(expected, key=repr)
+            assert {c: len(f) for c, f in files.missing.items()} == {"ChgNmr": 1, "Zn": 1}
+
+
+def test_headers_far_from_the_start(spark, tmp_path):
+    for i, lines in enumerate((0, 5, records.NEAR + 5)):
+        (tmp_path / f"{i}.csv").write_text("note\n" * lines + f"BpzIdt,BucDat\nd{i},2025-01-01\nBpzIdt,MngD\n")
+    (tmp_path / "empty.csv").write_text("")
+    found = records.files_with_headers(spark, str(tmp_path), "*.csv", ["BpzIdt", "BucDat"])
+    assert [(f.name, f.head) for f in found] == [(f"{i}.csv", "BpzIdt,BucDat") for i in range(3)]
+    (tmp_path / "none.csv").write_text("note\n" * 3)
+    with pytest.raises(ValueError, match="none.csv"):
+        records.files_with_headers(spark, str(tmp_path), "*.csv", ["BpzIdt", "BucDat"])
+
+
+def test_a_record_is_parsed_once(spark, landed):
+    """Conditions on cells stay above the parser."""
+    folder, _ = landed
+    text = movements.read_movement_files(spark, folder, split_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_csv") == text.count("Generate ") == 5
+
+
 def test_masses_out_of_range_are_bad_cells(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
