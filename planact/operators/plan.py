@@ -77,7 +77,9 @@ def pivot_months(
     months = months_of(plan) if months is None else months
     prefix = F.when(F.col("measure") == BUDGET, MEASURE_PREFIX[BUDGET]).otherwise(MEASURE_PREFIX[FORECAST])
     labelled = plan.withColumn("column", F.concat(prefix, dates.month_label(F.col("month"))))
-    return labelled.groupBy(*ids).pivot("column", month_columns(months, measures)).agg(
+    # Cells are summed first and rows then gathered: wide rows are only held for the ids of a task and never shuffled.
+    cells = labelled.groupBy(*ids, "column").agg(F.sum("value").alias("value")).repartition(*ids)
+    return cells.groupBy(*ids).pivot("column", month_columns(months, measures)).agg(
         F.sum("value").cast("decimal(18,2)")
     )
 
@@ -131,7 +133,8 @@ def plan_by_month_map(plan: DataFrame) -> DataFrame:
         .groupBy("material_id", "measure", dates.month_label(F.col("month")).alias("label"))
         .agg(F.coalesce(F.sum("value"), F.lit(0)).cast(_MONEY).alias("value"))
     )
-    return summed.groupBy("material_id", "measure").agg(
+    # A label is there once, so nothing is gained by lists before the shuffle.
+    return summed.repartition("material_id", "measure").groupBy("material_id", "measure").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "value")))).alias("by_month")
     )
 

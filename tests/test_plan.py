@@ -2,7 +2,7 @@ import datetime as dt
 
 from conftest import day, rows
 
-from planact.operators import plan
+from planact.operators import asof, plan
 
 MATS = (("M1", "one", "Cons", "H"), ("M2", "two", "Cons", "N"))
 JAN = dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 31, 23, 59)
@@ -98,3 +98,16 @@ def test_pooled_versions(make):
     down = make.shutdown(("A", "2025-01-10", "budget", 12), ("B", "2025-01-10", "budget", 12))
     got = {r[0]: r[1] for r in rows(plan.allocate_interval(facts, down, make.materials(*MATS), *JAN), "day", "budget")}
     assert got[day("2025-01-10")] == 0.0 and got[day("2025-01-09")] == 24.792
+
+
+def test_wide_rows_and_lists_are_made_after_the_shuffle(make):
+    """No task holds the wide rows or lists of ids whose other cells lie elsewhere."""
+    facts = make.plan(("V0", "1", "2025-01-01", "budget", 1), ("V0", "2", "2025-02-01", "forecast", 2))
+    made = {
+        "pivotfirst": [plan.pivot_months(facts, ["material_id"], [day("2025-01-01")])],
+        "collect_list": [plan.plan_by_month_map(facts), asof.plan_as_known(facts, ["2024-06-01"])],
+    }
+    for name, frames in made.items():
+        for df in frames:
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in text[text.index(name) : text.index(f"partial_{name}")]

@@ -39,3 +39,9 @@ def test_overflow_raises(spark):
     session.configure(spark)
     with pytest.raises(Exception, match="OVERFLOW"):
         spark.sql("select sum(x) from values (9000000000000000000L), (9000000000000000000L) t(x)").collect()
+
+
+def test_what_a_task_holds_is_bounded(spark):
+    """Shuffles begin with more partitions than the session's few, and are put together by size."""
+    shuffled = session.configure(spark).range(100).repartition("id")._jdf.queryExecution().executedPlan().toString()
+    assert "1024" in shuffled
