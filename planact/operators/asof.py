@@ -30,7 +30,8 @@ def plan_as_known(plan_fact: DataFrame, times: Sequence[dt.datetime | str]) -> D
     best = dealt.where(F.col("stretch") < len(asked)).groupBy(*CELL, "stretch").agg(
         F.max(F.struct("inserted_at", "value", "version")).alias("latest")
     )
-    cells = best.groupBy(*CELL).agg(F.collect_list(F.struct("stretch", "latest")).alias("held"))  # one per time at most
+    # A stretch is there once, so nothing is gained by lists before the shuffle.
+    cells = best.repartition(*CELL).groupBy(*CELL).agg(F.collect_list(F.struct("stretch", "latest")).alias("held"))  # one per time at most
     known = F.transform(
         F.sequence(F.lit(0), F.lit(len(asked) - 1)),
         lambda i: F.struct(
