@@ -40,10 +40,15 @@ def _sheet_id():
     )
 
 
-def write_plan_sheet(spark: SparkSession, sf: str, measure: str, folder: str) -> str:
+def sheet_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan of the version that the sheets show, written once for all of them."""
+    return stage(plan.in_version(sv.plan(spark, sf, version=_VERSION), _VERSION), "sheet-plan")
+
+
+def write_plan_sheet(spark: SparkSession, sf: str, measure: str, folder: str, facts: DataFrame | None = None) -> str:
     """One plan sheet of one version: months as columns, a version cell on top, some bad ids."""
     path = f"{folder}/{measure}"
-    facts = plan.in_version(sv.plan(spark, sf), _VERSION).where(F.col("measure") == measure)
+    facts = (sheet_facts(spark, sf) if facts is None else facts).where(F.col("measure") == measure)
     months = plan.months_of(facts)
     wide = plan.pivot_months(facts, ["material_id"], months, (measure,))
     names = {c: m for m, c in zip(months, plan.month_columns(months, (measure,)))}
@@ -54,12 +59,13 @@ def write_plan_sheet(spark: SparkSession, sf: str, measure: str, folder: str) ->
         "category",
         *[F.col(c).cast("string").alias(f"{m} 00:00:00") for c, m in names.items()],
     )
-    rows = stage(rows, "sheet")
     spare = [F.lit(None).cast("string").alias(c) for c in rows.columns[1:]]
-    title = spark.range(1).select(F.lit(_VERSION).alias("material_name"), *spare)
-    bad = rows.where(F.col("category") == "P").withColumn("id", F.substring("id", 2, 6))
-    # The row without an id sorts first: it is the sheet's first data row.
-    rows.unionByName(bad).unionByName(title).orderBy("id").write.option("header", True).csv(path)
+    title = spark.range(0, 1, 1, 1).select(F.lit(_VERSION).alias("material_name"), *spare)
+    # A material of category P comes a second time, with a bad id.
+    ids = F.when(F.col("category") == "P", F.array(F.col("id"), F.substring("id", 2, 6))).otherwise(F.array("id"))
+    rows = rows.withColumn("id", F.explode(ids))
+    # The title's task is the first and so its file: it is the sheet's first data row.
+    title.unionByName(rows).write.option("header", True).csv(path)
     return path
 
 
@@ -109,9 +115,9 @@ where year(m.month) in ({_YEARS_SQL})""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Written as a sheet, scanned, ids checked, months found in the headers, unpivoted."""
-    folder = scratch_path(spark, "workbook")
-    forecast = grids.read_plan_grid(spark, write_plan_sheet(spark, sf, plan.FORECAST, folder))
-    grid = grids.read_plan_grid(spark, write_plan_sheet(spark, sf, plan.BUDGET, folder))
+    folder, facts = scratch_path(spark, "workbook"), sheet_facts(spark, sf)
+    forecast = grids.read_plan_grid(spark, write_plan_sheet(spark, sf, plan.FORECAST, folder, facts))
+    grid = grids.read_plan_grid(spark, write_plan_sheet(spark, sf, plan.BUDGET, folder, facts))
     return grids.plan_rows(grid, plan.BUDGET, grids.version_of(forecast).scalar(), YEARS)
 
 
@@ -153,8 +159,8 @@ where version = 'V1' and year(day) in ({_YEARS_SQL})""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """A whole workbook loaded twice; the second load is refused, as its version is stored."""
-    folder = scratch_path(spark, "workbook")
-    sheets = {m: write_plan_sheet(spark, sf, m, folder) for m in (plan.BUDGET, plan.FORECAST)}
+    folder, facts = scratch_path(spark, "workbook"), sheet_facts(spark, sf)
+    sheets = {m: write_plan_sheet(spark, sf, m, folder, facts) for m in (plan.BUDGET, plan.FORECAST)}
     sheets |= {f"{m}_shutdown": write_shutdown_sheet(spark, sf, m, folder) for m in (plan.BUDGET, plan.FORECAST)}
     store = plan_load.PlanStore(scratch_path(spark, "store"))
     for _ in range(2):

@@ -77,8 +77,9 @@ def pivot_months(
     months = months_of(plan) if months is None else months
     prefix = F.when(F.col("measure") == BUDGET, MEASURE_PREFIX[BUDGET]).otherwise(MEASURE_PREFIX[FORECAST])
     labelled = plan.withColumn("column", F.concat(prefix, dates.month_label(F.col("month"))))
-    # Cells are summed first and rows then gathered: wide rows are only held for the ids of a task and never shuffled.
-    cells = labelled.groupBy(*ids, "column").agg(F.sum("value").alias("value")).repartition(*ids)
+    # Spread by id, rows move once: cells are summed and wide rows gathered where they are, and held for the ids of a task
+    # only. A plan names a material once for a month and version, so no id is hot.
+    cells = labelled.select(*ids, "column", "value").repartition(*ids).groupBy(*ids, "column").agg(F.sum("value").alias("value"))
     return cells.groupBy(*ids).pivot("column", month_columns(months, measures)).agg(
         F.sum("value").cast("decimal(18,2)")
     )

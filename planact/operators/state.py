@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from planact.functions import compare
@@ -20,6 +20,7 @@ from planact.operators.plan import BUDGET, FORECAST
 from planact.session import stage
 
 DAY = ["day", "measure"]
+MATERIAL = ["material_id", "measure"]
 
 
 def _stored(stamp: str, value: str) -> list[Column]:
@@ -37,16 +38,17 @@ def _latest(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
-def plan_state(rows: DataFrame) -> DataFrame:
+def plan_state(rows: DataFrame, *more: str) -> DataFrame:
     """One row per cell with its latest value, version and time; cells never filled have none.
 
-    ``rows`` are facts, states or both: the state of a state and of newer facts is that of all facts.
+    ``rows`` are facts, states or both: the state of a state and of newer facts is that of all facts. ``more`` names
+    columns that follow from the cell; rows that are spread by these are not shuffled again.
     """
-    return _latest(rows.where(F.col("material_id").isNotNull()), CELL, "value")
+    return _latest(rows.where(F.col("material_id").isNotNull()), [*more, *CELL], "value")
 
 
-def shutdown_state(rows: DataFrame) -> DataFrame:
-    return _latest(rows, DAY, "hours")
+def shutdown_state(rows: DataFrame, *more: str) -> DataFrame:
+    return _latest(rows, [*more, *DAY], "hours")
 
 
 def digests(rows: DataFrame, *by: str) -> DataFrame:
@@ -99,15 +101,47 @@ def _news(new_plan: DataFrame, dim_time: DataFrame | None) -> DataFrame:
     return rows.join(months, "month", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
 
 
-def _cells(new_plan: DataFrame, state: DataFrame, dim_time: DataFrame | None) -> DataFrame:
-    """New rows beside the stored state of their cell, and the state of all other cells."""
-    news = _news(new_plan, dim_time).select(
-        *CELL, F.col("value").alias("new_value"), F.col("version").alias("new_version"), "asked", F.lit(True).alias("new")
-    )
+def _compared(news: DataFrame, state: DataFrame) -> DataFrame:
+    """New rows with the ``change`` of their cell, if any, and the rows of the state, which has one per cell.
+
+    Both are spread by material and measure, together: their cells and all that is asked of a material are then found
+    without moving a row again, and rows of a material that stood together still do, which packs well.
+    """
+    news = news.withColumn("new_rows", F.lit(1))
     olds = state.select(
-        *CELL, F.col("value").alias("stored_value"), F.struct("inserted_at", "version").alias("stored"), F.lit(True).alias("old")
+        *CELL, F.col("value").alias("own_value"), F.struct("inserted_at", "version").alias("stored"), F.lit(1).alias("old_rows")
     )
-    return news.join(olds, CELL, "full_outer").withColumn("name", F.trim("material_id"))
+    both = news.unionByName(olds, allowMissingColumns=True).repartition(*MATERIAL)
+    named = F.col("material_id").isNotNull() & F.col("month").isNotNull() & F.col("measure").isNotNull()
+    stored = F.when(named, F.max("own_value").over(Window.partitionBy(*CELL)))
+    return _with_change(both.withColumn("stored_value", stored))
+
+
+def _with_change(rows: DataFrame) -> DataFrame:
+    differs = F.col("asked") & compare.value_changed(F.col("stored_value"), F.col("new_value"))
+    return rows.withColumn("change", F.when(differs, F.struct("month", "stored_value", "new_value")))
+
+
+def _stored_pairs(new_plan: DataFrame, stored: DataFrame) -> DataFrame:
+    """(month, measure, look) of the state; ``look``: the new plan has the pair, and not with equal cells."""
+    keys, cells = ["month", "measure"], F.struct("cells", "low", "high")
+    new = digests(new_plan).select(*keys, cells.alias("new"))
+    look = F.col("new").isNotNull() & (F.col("new") != F.col("stored"))
+    return stored.select(*keys, cells.alias("stored")).join(new, keys, "left").select(*keys, F.coalesce(look, F.lit(False)).alias("look"))
+
+
+def _changed(news: DataFrame, state: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The changed cells of new rows; ``pairs``: see :func:`_stored_pairs`.
+
+    Cells are only brought together for the months whose digests differ: equal digests are equal cells, and where the
+    state has no cells there is nothing stored to differ from.
+    """
+    news = news.join(F.broadcast(pairs), ["month", "measure"], "left")  # months of a calendar
+    olds = state.join(F.broadcast(pairs.where("look")), ["month", "measure"], "left_semi")
+    found = _compared(news.where("look").drop("look"), olds)
+    kind = state.schema["value"].dataType
+    fresh = _with_change(news.where("look is null").withColumn("stored_value", F.lit(None).cast(kind)))
+    return found.select(*MATERIAL, "change").unionByName(fresh.select(*MATERIAL, "change")).where("change is not null")
 
 
 def decision(
@@ -117,13 +151,14 @@ def decision(
     shutdown: DataFrame,
     known: Known,
     dim_time: DataFrame | None = None,
+    stored_digests: DataFrame | None = None,
 ) -> Decision:
-    """As ``change.load_decision``, from the state instead of the history: one pass over each side.
+    """As ``change.load_decision``, from the state instead of the history.
 
-    ``plan`` and ``shutdown`` are states. A new id counts as new if no stored id equals it without outer blanks.
+    ``plan`` and ``shutdown`` are states, ``stored_digests`` those of the plan's, if they are kept. A new id counts as new if no stored id equals it without outer blanks.
     What is found is written down, a row per material and measure, so that it stays what it was when the state moves on.
     """
-    per_measure = stage(_per_measure(new_plan, plan, dim_time), "plan-decision")
+    per_measure = stage(_per_measure(new_plan, plan, dim_time, stored_digests), "plan-decision")
     days = stage(_days(new_shutdown, shutdown, dim_time), "shutdown-decision")
     per_name = per_measure.groupBy("name").agg(
         F.sum("new_cells").alias("new_cells"),
@@ -154,17 +189,34 @@ def decision(
     return Decision(flags, fresh, moved, cells, days)
 
 
-def _per_measure(new_plan: DataFrame, plan: DataFrame, dim_time: DataFrame | None) -> DataFrame:
-    """Per material and measure: how many new cells, the changed ones, new versions that are not the latest stored one."""
-    is_new = F.col("new").isNotNull()
-    changed = is_new & F.col("asked") & compare.value_changed(F.col("stored_value"), F.col("new_value"))
-    grouped = _cells(new_plan, plan, dim_time).groupBy("name", "material_id", "measure").agg(
-        F.count("new").alias("new_cells"),
-        F.collect_list(F.when(changed, F.struct("month", "stored_value", "new_value"))).alias("changed"),
+def _per_measure(
+    new_plan: DataFrame, plan: DataFrame, dim_time: DataFrame | None, stored_digests: DataFrame | None = None
+) -> DataFrame:
+    """Per material and measure: how many new cells, the changed ones, new versions that are not the latest stored one.
+
+    Without digests one pass over each side brings all cells together. With them rows are counted by version where they
+    are read, and only cells of months that may have changed move one by one.
+    """
+    news = _news(new_plan, dim_time).select(
+        *CELL, F.col("value").alias("new_value"), F.col("version").alias("new_version"), "asked"
+    )
+    if stored_digests is None:
+        rows = _compared(news, plan)
+    else:
+        counted = news.groupBy(*MATERIAL, "new_version").agg(F.count("*").alias("new_rows"))
+        held = plan.groupBy(*MATERIAL, "inserted_at", "version").agg(F.count("*").alias("old_rows")).select(
+            *MATERIAL, F.struct("inserted_at", "version").alias("stored"), "old_rows"
+        )
+        changed = _changed(news, plan, _stored_pairs(new_plan, stored_digests))
+        rows = counted.unionByName(held, allowMissingColumns=True).unionByName(changed, allowMissingColumns=True)
+        rows = rows.repartition(*MATERIAL)
+    grouped = rows.groupBy(F.trim("material_id").alias("name"), *MATERIAL).agg(
+        F.coalesce(F.sum("new_rows"), F.lit(0)).alias("new_cells"),
+        F.collect_list("change").alias("changed"),
         F.max(F.when(F.col("stored.version").isNotNull(), F.col("stored")))["version"].alias("stored_version"),
-        (F.count("old") > 0).alias("old"),
+        (F.count("old_rows") > 0).alias("old"),
         F.collect_set("new_version").alias("versions"),
-        F.count_if(is_new & F.col("new_version").isNull()).alias("nameless"),
+        F.count_if(F.col("new_rows").isNotNull() & F.col("new_version").isNull()).alias("nameless"),
     )
     versions = F.when(F.col("nameless") > 0, F.concat("versions", F.array(F.lit(None).cast("string")))).otherwise(F.col("versions"))
     named = grouped.withColumn("versions", versions).drop("nameless")

@@ -94,8 +94,9 @@ def load_workbook(
     forecast_shutdown. Everything is checked before the first write.
     """
     book = grids.read_workbook(spark, **sheets, years=years)
-    quality.require_categories(book["materials"])
-    sink.upsert_table(spark, store.materials, schemas.MATERIAL, book["materials"], ["material_id"])
+    found = stage(book["materials"], "sheet-materials")
+    quality.require_categories(found)
+    sink.upsert_table(spark, store.materials, schemas.MATERIAL, found, ["material_id"])
 
     # The sheets are wide text; their long form is written once and feeds every check below.
     new_plan = stage(book["budget"].unionByName(book["forecast"]), "new-plan")
@@ -107,7 +108,10 @@ def load_workbook(
     dim_time = spark.read.schema(schemas.TIME_MEMBER).parquet(store.time)
     # The state is that of all stored loads; what is new is compared with it, not with history.
     known = plan_state.refresh(spark, store.state, store.plan, store.shutdown)
-    decision = state.decision(new_plan, book["budget_shutdown"], *plan_state.read(spark, store.state), known, dim_time)
+    decision = state.decision(
+        new_plan, book["budget_shutdown"], *plan_state.read(spark, store.state), known, dim_time,
+        plan_state.read_digests(spark, store.state),
+    )
     if not decision.should_load():
         return decision
     counts, stamp = Observation("plan-load"), F.localtimestamp().alias("inserted_at")

@@ -15,6 +15,8 @@ from planact.sinks import tables as sink
 from planact.sources.tables import partition_values, read_or_empty
 
 YEAR = schemas.PART_YEAR
+# A year's state is spread over so many tasks and files at most; small ones share a task.
+SLOTS = 256
 
 
 class StateTables:
@@ -30,23 +32,30 @@ class StateTables:
 
 
 def _merge(
-    spark: SparkSession, path: str, rows: DataFrame, latest: Callable[[DataFrame], DataFrame], day: str, schema: T.StructType
+    spark: SparkSession, path: str, rows: DataFrame, latest: Callable[..., DataFrame], keys: list[str], schema: T.StructType
 ) -> DataFrame | None:
-    """Merge rows of some loads; only the years they touch are read and written. Returns those years as they are now."""
+    """Merge rows of some loads; only the years they touch are read and written. Returns those years as they are now.
+
+    ``keys``: of a row of the state, its day last. Rows are spread once, by the year and a hash of the first key: a task
+    merges them and writes few files, in the order of the keys.
+    """
+    day = keys[-1]
     years = [r[0] for r in rows.select(F.year(day)).distinct().collect()]  # years of a calendar
     if not years:
         return None
     columns = [c for c in schema.fieldNames() if c != YEAR]
 
-    def dated(df: DataFrame) -> DataFrame:
-        return df.withColumn(YEAR, F.year(day)).select(*schema.fieldNames())
+    def merged_of(df: DataFrame) -> DataFrame:
+        slot = F.pmod(F.xxhash64(keys[0]), F.lit(SLOTS)).alias("slot")
+        spread = df.select(*columns, F.year(day).alias(YEAR), slot).repartition(YEAR, "slot")
+        return latest(spread, YEAR, "slot").select(*schema.fieldNames()).sortWithinPartitions(YEAR, *keys)
 
     stored = read_or_empty(spark, path, schema).where(F.col(YEAR).isin(years))
     if partition_values(spark, path, YEAR) & {str(y) for y in years}:
-        merged = stage(dated(latest(rows.select(*columns).unionByName(stored.select(*columns)))), "plan-state")
+        merged = stage(merged_of(rows.select(*columns).unionByName(stored.select(*columns))), "plan-state")
     else:
-        merged = dated(latest(rows.select(*columns)))
-    sink.replace_partitions(merged, path, YEAR)
+        merged = merged_of(rows)
+    sink.replace_partitions(merged, path, YEAR, spread=True)
     return spark.read.schema(schema).parquet(path).where(F.col(YEAR).isin(years))
 
 
@@ -58,8 +67,8 @@ def merge(
     The digests of the versions are written last, so a merge that is cut off is found and done again by ``refresh``.
     """
     with staging(spark):
-        now = _merge(spark, tables.plan, plan, state.plan_state, "month", schemas.PLAN_STATE)
-        _merge(spark, tables.shutdown, shutdown, state.shutdown_state, "day", schemas.SHUTDOWN_STATE)
+        now = _merge(spark, tables.plan, plan, state.plan_state, ["material_id", "measure", "month"], schemas.PLAN_STATE)
+        _merge(spark, tables.shutdown, shutdown, state.shutdown_state, ["measure", "day"], schemas.SHUTDOWN_STATE)
         if now is not None:
             sink.replace_partitions(state.digests(now, YEAR), tables.plan_digests, YEAR)
         # A row without a month for versions without plan rows: they are merged, too.
@@ -92,9 +101,14 @@ def read(spark: SparkSession, tables: StateTables) -> tuple[DataFrame, DataFrame
     )
 
 
+def read_digests(spark: SparkSession, tables: StateTables) -> DataFrame:
+    """The digests of the state of the plan."""
+    return read_or_empty(spark, tables.plan_digests, schemas.STATE_DIGEST)
+
+
 def changed_months(spark: SparkSession, tables: StateTables, new_plan: DataFrame) -> DataFrame:
     """(month, measure) in which a new plan is not, cell for cell, the latest stored state."""
-    return state.differing(state.digests(new_plan), read_or_empty(spark, tables.plan_digests, schemas.STATE_DIGEST))
+    return state.differing(state.digests(new_plan), read_digests(spark, tables))
 
 
 def equal_versions(spark: SparkSession, tables: StateTables, new_plan: DataFrame) -> DataFrame:

@@ -194,10 +194,13 @@ def recover(spark: SparkSession, path: str) -> None:
             fs.delete(named(suffix), True)
 
 
-def replace_partitions(merged: DataFrame, path: str, partition: str) -> None:
-    """Put rows in place of the partitions they belong to; the others stay. ``merged`` must not read ``path``."""
+def replace_partitions(merged: DataFrame, path: str, partition: str, spread: bool = False) -> None:
+    """Put rows in place of the partitions they belong to; the others stay. ``merged`` must not read ``path``.
+
+    ``spread``: its rows are spread over tasks by partition already and are written as they are.
+    """
     (
-        merged.hint("rebalance", partition).write.mode("overwrite")
+        (merged if spread else merged.hint("rebalance", partition)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
