@@ -12,7 +12,7 @@ from planact.catalog.actual_queries import history
 from planact.catalog.core import plain, query
 from planact.operators import actuals, telemetry
 from planact.plans import category_sums, combined, daily_report, legacy_report, material_report, stored_history
-from planact.session import scratch_path
+from planact.session import scratch_path, stage
 from planact.sinks import tables as sink
 from planact.sources import star_views as sv
 
@@ -198,6 +198,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _kept_up(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A stored report made before the movements of one month came, and that month made again when they did."""
     base, data = scratch_path(spark, "history"), sv.inputs(spark, sf)
+    # The plan is a stored table, as in production: noting its months and both refreshes read it.
+    data = replace(data, plan=stage(data.plan, "history-plan"))
     late = F.col("day").between(F.lit("1998-01-01").cast("date"), F.lit("1998-01-31").cast("date"))
     reports = {name: stored_history.REPORTS[name]}
     stored_history.note_changes(data.plan.select(F.col("month").alias("day")), f"{base}/changes")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from planact import schemas
 from planact.catalog import CATALOG
 from planact.operators import change, plan, state
-from planact.plans import plan_state
+from planact.plans import plan_state, stored_history
 from planact.sources import star_views as sv
 
 MONTHS = ("2025-01-01", "2025-02-01", "2026-01-01")
@@ -70,6 +70,17 @@ def test_months_with_equal_digests_are_decided_without_their_cells(spark, make):
     assert looked == [(day("2025-01-01"), "budget"), (day("2025-02-01"), "budget")]
 
 
+def test_slices_of_the_plan_are_summed_where_rows_meet_their_material(make):
+    facts = facts_of(make, ("V0", "X", MONTHS[0], "budget", 1), ("V0", None, MONTHS[0], "budget", 1), ("V1", "A", MONTHS[0], "budget", None))
+    for by in ([], ["category"], ["material_id", "material_type"]):
+        materials = make.materials(*MATS, MATS[1])
+        made = plan.plan_slices(facts, materials, by)
+        assert rows(made) == rows(plan.monthly_slices(plan.monthly_plan(facts), materials, by), *made.columns)
+    down = make.shutdown(("V0", "2025-01-10", "budget", 4))
+    spread = exchanges(plan.allocate_months(facts, down, make.materials(*MATS)))
+    assert spread and not [x for x in spread if "version" in x and "material_id" in x]
+
+
 def star(spark, folder):
     at = dt.datetime(1998, 1, 5)
     tables = {
@@ -84,6 +95,21 @@ def star(spark, folder):
     return str(folder)
 
 
+def test_a_stored_report_reads_a_stored_plan(spark, tmp_path, monkeypatch):
+    """Noting the months and both refreshes read the plan that was made once."""
+    sf, seen, refresh = star(spark, tmp_path), [], stored_history.refresh
+
+    def noted(spark, inputs, *rest):
+        seen.append(inputs.plan.inputFiles())
+        return refresh(spark, inputs, *rest)
+
+    monkeypatch.setattr(stored_history, "refresh", noted)
+    for name, whole in (("stored_daily_history", "daily_report_history"), ("stored_category_sums", "category_sums_history")):
+        got = CATALOG[name].run(spark, sf)
+        assert rows(got) == rows(CATALOG[whole].run(spark, sf).select(*got.columns))
+    assert len(seen) == 4 and all(files and "lineitem" not in " ".join(files) for files in seen)
+
+
 def test_a_sheet_begins_with_its_version_without_a_sort(spark, tmp_path):
     from planact.catalog import feed_queries
     from planact.sources import grids
