@@ -68,9 +68,9 @@ def _line_names(keys_of: DataFrame) -> DataFrame:
     return keys_of.select("*", F.explode(F.array(*[F.lit(x.name) for x in LABELS])).alias("label"))
 
 
-def plan_by_label(monthly: DataFrame, materials: DataFrame) -> DataFrame:
+def plan_by_label(facts: DataFrame, materials: DataFrame) -> DataFrame:
     """Monthly plan per version, month and label."""
-    grouped = plan.monthly_slices(monthly, materials, by=("material_type", "category"))
+    grouped = plan.plan_slices(facts, materials, by=("material_type", "category"))
     return (
         grouped.withColumn("label", F.explode(_labels("plan")))
         .groupBy("version", "month", "label")
@@ -116,7 +116,7 @@ def category_sums(
     month_down = plan.in_version(inputs.shutdown, version).where(
         F.col("day").between(F.lit(cal.month_of(lo)), F.lit(cal.end_of_month(lo)))
     )
-    slices = plan_by_label(plan.monthly_plan(month_plan), inputs.materials)
+    slices = plan_by_label(month_plan, inputs.materials)
     planned = plan.allocate_slices(slices, month_down, ("label",), version)
     wanted = F.col("day").between(F.lit(lo), F.lit(hi))
     plan_sums = planned.groupBy("label").agg(
@@ -131,7 +131,7 @@ def category_sums(
 
 def category_sums_history(inputs: Inputs, version: str | None = None) -> DataFrame:
     """The same lines for every month and version, each full month as its own request."""
-    slices = plan_by_label(plan.monthly_plan(plan.in_version(inputs.plan, version)), inputs.materials)
+    slices = plan_by_label(plan.in_version(inputs.plan, version), inputs.materials)
     planned = plan.allocate_slices(slices, plan.in_version(inputs.shutdown, version), ("label",), version)
     plan_sums = planned.groupBy("version", F.trunc("day", "MM").alias("month"), "label").agg(
         *[F.sum(m).alias(m) for m in (plan.BUDGET, plan.FORECAST)]
