@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from planact import schemas
 from planact.catalog import feed_queries
+from planact.plans import feed_loads
 from planact.session import scratch_root, stage, staging
+from planact.sinks import tables as sink
 from planact.sources import movements, records
 from planact.streaming import ingest
 
@@ -72,3 +74,25 @@ def test_shuffle_files_go_with_their_statement(spark):
                 break
             time.sleep(0.1)
         assert held() <= before
+
+
+def test_files_do_not_grow_with_the_rows_of_a_task(spark, tmp_path):
+    """One task makes several files, each led by its header; the text they were made from is not kept."""
+    before = scratch(spark)
+    folder = feed_queries.write_movement_files(raw_rows(spark, 30), str(tmp_path), rows_per_file=10)
+    assert scratch(spark) == before
+    files = sorted((tmp_path / "plain").glob("part-*"))
+    assert len(files) == 3 and all(f.read_text().startswith("BpzIdt,MatIdt,") for f in files)
+    got = movements.read_movement_files(spark, f"{folder}/plain", feed_queries.FILES)
+    assert rows(got, *COLUMNS) == rows(raw_rows(spark, 30), *COLUMNS)
+
+
+def test_a_load_lets_go_of_its_records(spark, tmp_path, monkeypatch):
+    folder = feed_queries.write_movement_files(raw_rows(spark, 9), str(tmp_path / "in"))
+    held, append = [], sink.append_movements_counted
+    monkeypatch.setattr(sink, "append_movements_counted", lambda *a: held.append(scratch(spark)) or append(*a))
+    before = scratch(spark)
+    load = feed_loads.load_movements(spark, f"{folder}/plain", str(tmp_path / "t"), feed_queries.FILES, 0)
+    assert load.rows == load.stored == 9
+    assert {name.rsplit("-", 1)[0] for name in held[0] - before} == {"movement-rows"}
+    assert scratch(spark) == before
