@@ -4,11 +4,14 @@ import re
 import time
 from pathlib import Path
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from test_key_filters import BOTH, FIRST, SECOND, batch, stored
 
 from planact import schemas
 from planact.catalog import feed_queries
+from planact.operators import keyfilter
 from planact.plans import feed_loads
 from planact.session import scratch_root, stage, staging
 from planact.sinks import tables as sink
@@ -60,22 +63,6 @@ def test_a_landed_batch_leaves_nothing_but_its_rows(spark, tmp_path, monkeypatch
     assert scratch(spark) == before
 
 
-def test_shuffle_files_go_with_their_statement(spark):
-    def held():
-        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
-
-    before = held()
-    with staging(spark):
-        grouped = stage(spark.range(1000).repartition(7).groupBy(F.col("id") % 10).count())
-        assert grouped.count() == 10
-        for _ in range(100):
-            if held() <= before:
-                break
-            time.sleep(0.1)
-        assert held() <= before
-
-
 def test_files_do_not_grow_with_the_rows_of_a_task(spark, tmp_path):
     """One task makes several files, each led by its header; the text they were made from is not kept."""
     before = scratch(spark)
@@ -96,3 +83,46 @@ def test_a_load_lets_go_of_its_records(spark, tmp_path, monkeypatch):
     assert load.rows == load.stored == 9
     assert {name.rsplit("-", 1)[0] for name in held[0] - before} == {"movement-rows"}
     assert scratch(spark) == before
+
+
+@pytest.mark.parametrize("at_once", [40, 10**6])
+def test_filters_are_asked_by_keys_and_rows_appended_in_parts(spark, tmp_path, monkeypatch, at_once):
+    path, asked, appends = str(tmp_path / "t"), [], []
+    marked, append = keyfilter.marked, sink.append_by_month
+    monkeypatch.setattr(keyfilter, "marked", lambda df, *a: asked.append(len(df.columns)) or marked(df, *a))
+    monkeypatch.setattr(sink, "append_by_month", lambda *a: appends.append(append(*a)) or appends[-1])
+    monkeypatch.setattr(sink, "ROWS_AT_ONCE", at_once)
+    sink.append_movements(spark, batch(spark, *FIRST), path)
+    assert sink.append_movements(spark, batch(spark, *SECOND), path) == 201
+    assert sink.append_movements(spark, batch(spark, *SECOND), path) == 0
+    assert stored(spark, path) == BOTH
+    assert asked == [3, 3] and max(appends) < (100 if at_once == 40 else 400)
+    assert len(appends) == (8 + 6 + 1 if at_once == 40 else 3)
+
+
+@pytest.mark.parametrize("more", [0, 40])
+def test_rows_without_a_document_are_always_new(spark, tmp_path, more):
+    """Whether the stored keys or the new ones are fewer."""
+    path, nil = str(tmp_path / "t"), F.nullif("BpzIdt", F.lit("nil"))
+    first = [(f"d{i}", "2025-01-05") for i in range(9)] + [("d1", "2025-01-05"), ("nil", "2025-01-05")]
+    second = first + [(f"n{i}", "2025-01-05") for i in range(more)] + [("n1", "2025-01-06")] * 2
+    for keys, n in ((first, 11), (second, more + 3)):
+        assert sink.append_movements(spark, batch(spark, *keys).withColumn("BpzIdt", nil), path) == n
+    found = [d for d, _ in stored(spark, path)]
+    assert found.count(None) == 2 and found.count("d1") == 2 and found.count("n1") == 2 + (more > 0) and len(found) == 14 + more
+
+
+def test_shuffle_files_go_with_their_statement(spark):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before = held()
+    with staging(spark):
+        grouped = stage(spark.range(1000).repartition(7).groupBy(F.col("id") % 10).count())
+        assert grouped.count() == 10
+        for _ in range(100):
+            if held() <= before:
+                break
+            time.sleep(0.1)
+        assert held() <= before
