@@ -2,18 +2,17 @@
 
 import re
 import time
-from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from test_key_filters import BOTH, FIRST, SECOND, batch, stored
 
-from planact import schemas
+from planact import schemas, session
 from planact.catalog import feed_queries
 from planact.operators import keyfilter
 from planact.plans import feed_loads
-from planact.session import scratch_root, stage, staging
+from planact.session import stage, staging
 from planact.sinks import tables as sink
 from planact.sources import movements, records
 from planact.streaming import ingest
@@ -21,8 +20,12 @@ from planact.streaming import ingest
 COLUMNS = schemas.MOVEMENT_FEED_COLUMNS
 
 
-def scratch(spark):
-    return {p.name for p in Path(scratch_root(spark).removeprefix("file:")).glob("*")}
+@pytest.fixture
+def scratch(tmp_path, monkeypatch):
+    """A scratch folder of the test's own, and what is in it."""
+    folder = tmp_path / "scratch"
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(folder))
+    return lambda: {p.name.rsplit("-", 1)[0] for p in folder.glob("*")}
 
 
 def raw_rows(spark, count):
@@ -52,37 +55,33 @@ def test_lines_of_large_files_move_and_are_stored_once(spark, tmp_path, monkeypa
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
 
 
-def test_a_landed_batch_leaves_nothing_but_its_rows(spark, tmp_path, monkeypatch):
+def test_a_landed_batch_leaves_nothing_but_its_rows(spark, tmp_path, monkeypatch, scratch):
     folder = feed_queries.write_movement_files(raw_rows(spark, 30), str(tmp_path / "in"))
     read = movements.read_movement_files
     monkeypatch.setattr(movements, "read_movement_files", lambda spark, paths: read(spark, paths, split_bytes=0))
-    before = scratch(spark)
     files = ingest.stream_movement_files(spark, f"{folder}/plain", feed_queries.FILES)
     ingest.land_movements(files, str(tmp_path / "landed"), str(tmp_path / "c")).awaitTermination()
     assert spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "landed")).count() == 30
-    assert scratch(spark) == before
+    assert scratch() == set()
 
 
-def test_files_do_not_grow_with_the_rows_of_a_task(spark, tmp_path):
+def test_files_do_not_grow_with_the_rows_of_a_task(spark, tmp_path, scratch):
     """One task makes several files, each led by its header; the text they were made from is not kept."""
-    before = scratch(spark)
     folder = feed_queries.write_movement_files(raw_rows(spark, 30), str(tmp_path), rows_per_file=10)
-    assert scratch(spark) == before
+    assert scratch() == set()
     files = sorted((tmp_path / "plain").glob("part-*"))
     assert len(files) == 3 and all(f.read_text().startswith("BpzIdt,MatIdt,") for f in files)
     got = movements.read_movement_files(spark, f"{folder}/plain", feed_queries.FILES)
     assert rows(got, *COLUMNS) == rows(raw_rows(spark, 30), *COLUMNS)
 
 
-def test_a_load_lets_go_of_its_records(spark, tmp_path, monkeypatch):
+def test_a_load_lets_go_of_its_records(spark, tmp_path, monkeypatch, scratch):
     folder = feed_queries.write_movement_files(raw_rows(spark, 9), str(tmp_path / "in"))
     held, append = [], sink.append_movements_counted
-    monkeypatch.setattr(sink, "append_movements_counted", lambda *a: held.append(scratch(spark)) or append(*a))
-    before = scratch(spark)
+    monkeypatch.setattr(sink, "append_movements_counted", lambda *a: held.append(scratch()) or append(*a))
     load = feed_loads.load_movements(spark, f"{folder}/plain", str(tmp_path / "t"), feed_queries.FILES, 0)
     assert load.rows == load.stored == 9
-    assert {name.rsplit("-", 1)[0] for name in held[0] - before} == {"movement-rows"}
-    assert scratch(spark) == before
+    assert held == [{"movement-rows"}] and scratch() == set()
 
 
 @pytest.mark.parametrize("at_once", [40, 10**6])
